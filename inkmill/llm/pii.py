@@ -1,0 +1,194 @@
+"""Personal data: patterns propose spans, checksums confirm them, words nearby adjust a score.
+
+Base kinds (email, ip, card, phone) are always reported when their pattern and check hold. Two further kinds are the method's
+own: `iban`, confirmed by mod-97, and `ssn`, which has no checksum and is reported only if words nearby speak for it. Every
+pattern is written so that one scan is linear in the text, also for long runs of digits or of address characters.
+
+Defined results: a null or empty text has no spans; a null doc_id is kept as null; repeated rows are each reported; other
+columns are ignored by `find_pii` and kept by `redact`.
+"""
+
+from __future__ import annotations
+
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from inkmill.llm.common import table
+
+KINDS = ("email", "ip", "card", "phone", "iban", "ssn")
+BASE = KINDS[:4]
+
+# Score of a confirmed span, and what context adds or takes.
+PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.6, "iban": 0.9, "ssn": 0.3}
+CONTEXT = {
+    "email": ("email", "e-mail", "mail", "contact"),
+    "ip": ("ip", "address", "server", "host"),
+    "card": ("card", "credit", "visa", "mastercard", "payment"),
+    "phone": ("phone", "tel", "call", "mobile", "fax"),
+    "iban": ("iban", "account", "bank"),
+    "ssn": ("ssn", "social", "security"),
+}
+AGAINST = ("version", "isbn", "example", "order")
+BONUS, MALUS, NEAR, LEAST = 0.2, 0.2, 40, 0.5
+# Characters of an IBAN by country.
+IBAN_LENGTH = {"AT": 20, "BE": 16, "CH": 21, "CZ": 24, "DE": 22, "DK": 18, "ES": 24, "FI": 18, "FR": 27, "GB": 22, "IE": 22, "IT": 27, "LU": 20, "NL": 18, "NO": 15, "PL": 28, "PT": 25, "SE": 24}
+
+_LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+_DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+_IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
+_CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
+_PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
+_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}")
+_SSN = re.compile(r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])")
+_DIGIT = re.compile("[0-9]")
+
+Span = tuple[str, int, int, float]
+
+
+def luhn(digits: str) -> bool:
+    total = 0
+    for i, d in enumerate(map(int, reversed(digits))):
+        d *= 1 + i % 2
+        total += d - 9 * (d > 9)
+    return total % 10 == 0
+
+
+def mod97(iban: str) -> bool:
+    return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97 == 1
+
+
+def emails(text: str) -> Iterator[tuple[int, int]]:
+    """Found from each @: the address characters before it, then a domain. Same matches as a left-to-right scan."""
+    floor, at = 0, text.find("@")
+    while at >= 0:
+        start = at
+        while start > floor and text[start - 1] in _LOCAL:
+            start -= 1
+        nxt = at + 1
+        if start < at and (m := _DOMAIN.match(text, nxt)):
+            yield start, m.end()
+            floor = nxt = m.end()
+        else:
+            floor = nxt
+        at = text.find("@", nxt)
+
+
+def _small(part: str) -> bool:
+    part = part.lstrip("0")
+    return len(part) <= 3 and int(part or 0) <= 255
+
+
+def _iban_end(text: str, start: int, end: int) -> int:
+    """End of the IBAN that starts here, by its country's length; -1 if there is none."""
+    need = IBAN_LENGTH.get(text[start : start + 2], 0)
+    have, i = 0, start
+    while i < end and have < need:
+        have += text[i] != " "
+        i += 1
+    whole = need and have == need and not (i < len(text) and text[i].isalnum())
+    return i if whole and mod97(text[start:i].replace(" ", "")) else -1
+
+
+def propose(text: str) -> Iterator[tuple[str, int, int]]:
+    """Confirmed spans by kind, then start."""
+    for a, b in emails(text):
+        yield "email", a, b
+    if not _DIGIT.search(text):
+        return
+    for m in _IP.finditer(text):
+        if all(map(_small, m[0].split("."))):
+            yield "ip", m.start(), m.end()
+    for m in _CARD.finditer(text):
+        if m.end() - m.start() >= 16:
+            digits = m[0].replace(" ", "").replace("-", "")
+            if 16 <= len(digits) <= 19 and luhn(digits):
+                yield "card", m.start(), m.end()
+    if "+" in text:
+        for m in _PHONE.finditer(text):
+            if 8 <= sum(c.isdigit() for c in m[0]) <= 15:
+                yield "phone", m.start(), m.end()
+    for m in _IBAN.finditer(text):
+        if (end := _iban_end(text, m.start(), m.end())) > 0:
+            yield "iban", m.start(), end
+    if "-" in text:
+        for m in _SSN.finditer(text):
+            yield "ssn", m.start(), m.end()
+
+
+def score(text: str, kind: str, start: int, end: int) -> float:
+    near = set(re.findall(r"[a-z-]+", f"{text[max(0, start - NEAR) : start]} {text[end : end + NEAR]}".lower()))
+    value = PRIOR[kind] + BONUS * (not near.isdisjoint(CONTEXT[kind])) - MALUS * (not near.isdisjoint(AGAINST))
+    return round(min(1.0, max(0.0, value)), 3)
+
+
+def spans_of(text: str | None) -> list[Span]:
+    found = [(k, a, b, score(text, k, a, b)) for k, a, b in propose(text or "")]
+    return [s for s in found if s[0] in BASE or s[3] >= LEAST]
+
+
+def masked(text: str, spans: list[Span]) -> str:
+    """The text with each covered stretch replaced by its kind in brackets; of overlapping spans the first names it."""
+    out, at = [], 0
+    for kind, a, b, _ in sorted(spans, key=lambda s: (s[1], -s[2])):
+        if a >= at:
+            out += [text[at:a], f"[{kind.upper()}]"]
+        at = max(at, b)
+    return "".join([*out, text[at:]])
+
+
+_SPANS = "array<struct<kind:string,start:bigint,end:bigint,score:double>>"
+_ARROW = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))
+
+
+def find_pii(docs: DataFrame, text: str = "text") -> DataFrame:
+    """doc_id and an array of (kind, start, end, score), by kind as in KINDS, then start; code points, end exclusive."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [[dict(zip(("kind", "start", "end", "score"), s)) for s in spans_of(t.as_py())] for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, _ARROW)], ["doc_id", "spans"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, f"doc_id long, spans {_SPANS}")
+
+
+def redact(docs: DataFrame, text: str = "text", lengths: str | None = None) -> DataFrame:
+    """The same rows and columns with personal data masked in the text; `lengths` names a column of code points to set anew."""
+    at = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for t in batch.column(at):
+                t = t.as_py()
+                spans = spans_of(t)
+                out.append(masked(t, spans) if spans else t)
+            columns = list(batch.columns)
+            columns[at] = pa.array(out, batch.schema.field(at).type)
+            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+
+    out = docs.mapInArrow(run, docs.schema)
+    if lengths:
+        out = out.withColumn(lengths, F.length(F.col(text)).cast(docs.schema[lengths].dataType))
+    return out
+
+
+def _listed(spans: Column) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_pii(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    base = F.filter("spans", lambda s: s["kind"].isin(*BASE))
+    return found.select(
+        "doc_id",
+        *(count(k).alias(f"n_{k}") for k in BASE),
+        F.sha2(_listed(base), 256).alias("base_sha256"),
+        _listed(F.col("spans")).alias("spans"),
+        *(count(k).alias(f"n_{k}") for k in KINDS[4:]),
+        F.coalesce(F.array_max(F.transform("spans", lambda s: s["score"])), F.lit(0.0)).alias("top_score"),
+    )
