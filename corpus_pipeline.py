@@ -1,10 +1,13 @@
-"""From raw documents to packed training sequences, stage by stage."""
+"""From raw documents to packed training sequences, stage by stage.
+
+Each stage takes the documents its predecessor kept. Near duplicates are judged on five-word shingles at a similarity of 0.8.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from inkmill.llm import packing, pii, quality
+from inkmill.llm import decontam, neardup, packing, pii, quality
 from inkmill.llm.common import saved, table
 
 
@@ -13,6 +16,16 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_documents(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays, the one with the smallest id."""
+    return neardup.drop_near_duplicates(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that leak a benchmark item, also with other numbers or names, go."""
+    return decontam.drop_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data in the text is masked by its kind; n_chars follows."""
     return pii.redact(docs, lengths="n_chars")
@@ -23,9 +36,9 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, packing.default_tokenizer())
 
 
-STAGES = [("quality_rules", quality_rules), ("pii", redact_pii), ("packing", pack)]
+STAGES = [("quality_rules", quality_rules), ("near_dedup", near_dedup), ("decontamination", decontaminate), ("pii", redact_pii), ("packing", pack)]
 
-#: Tokenising and packing are not expressible in SQL; tests/llm holds the stages against brute force.
+#: Minwise trees, templates and tokens are not expressible in SQL; tests/llm holds the stages against brute force.
 ORACLE_SQL = None
 
 
