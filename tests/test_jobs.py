@@ -1,0 +1,111 @@
+"""Files in, files out."""
+
+from __future__ import annotations
+
+import csv
+import json
+
+import pandas as pd
+import yaml
+
+from inkmill import cli
+from inkmill.operators.chunks import chunk_by_header
+from inkmill.operators.generate import StubGenerator
+from inkmill.plans import jobs
+from inkmill.sources import files, sinks
+from inkmill.streaming import ingest
+
+L = "x" * 205
+
+
+def put(root, **texts):
+    for name, body in texts.items():
+        path = root / name.replace("__", "/").replace("_dot_", ".")
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_bytes(body if isinstance(body, bytes) else body.encode())
+    return str(root)
+
+
+def test_markdown_source(spark, tmp_path):
+    root = put(tmp_path / "in", a_dot_md="one\r\ntwo\rthree", sub__a_dot_md="ñ", x_dot_MD="no", b_dot_md=b"bad \xff")
+    rows = {(r.path.rpartition("/in/")[2]): r for r in files.read_markdown(spark, root).collect()}
+    assert set(rows) == {"a.md", "sub/a.md", "b.md"} and rows["a.md"].text == "one\ntwo\nthree" and rows["sub/a.md"].documento == "a.md"
+    assert "�" in rows["b.md"].text
+    nulls = {r.path.rpartition("/")[2]: r.text for r in files.read_markdown(spark, root, utf8="null").collect()}
+    assert nulls["b.md"] is None
+
+
+def test_create_writes_all_formats_and_convert_reads_them_back(spark, tmp_path):
+    root = put(tmp_path / "in", a_dot_md=f"## H\n\n|{L}", sub__a_dot_md=f'{L} "q", ñ\n\n{L}y', empty_dot_md="short")
+    out = str(tmp_path / "out")
+    jobs.create(spark, root, out, StubGenerator, store_csv=True, store_jsonl=True)
+    made = yaml.safe_load((tmp_path / "out/sub/a.yaml").read_text())
+    assert list(made) == sorted(made) and made["version"] == 3 and made["document"] == {"repo": None, "commit": None, "patterns": ["a.md"]}
+    assert yaml.safe_load((tmp_path / "out/empty.yaml").read_text())["seed_examples"] == []
+    pairs = [[q["question"], q["answer"]] for e in made["seed_examples"] for q in e["questions_and_answers"]]
+    with open(tmp_path / "out/sub/a.csv", newline="") as f:
+        assert list(csv.reader(f)) == [["instruction", "answer"], *pairs]
+    lines = [json.loads(x) for x in (tmp_path / "out/sub/a.jsonl").read_text().splitlines()]
+    assert [[x["prompt"], x["completion"]] for x in lines] == pairs and pairs
+    put(tmp_path / "out", bad_dot_yaml="- nothing", no_dot_yml="x")
+    again = jobs.convert(spark, out, str(tmp_path / "again"))
+    assert {r.path.rpartition("/")[2] for r in again.filter("error IS NOT NULL").collect()} == {"bad.yaml"}
+    assert (tmp_path / "again/sub/a.csv").read_text() == (tmp_path / "out/sub/a.csv").read_text()
+
+
+def test_reasoning_reads_latin_1(spark, tmp_path):
+    root = put(tmp_path / "in", r_dot_csv='i,a,s\n"qué, sí o no",b,c\n'.encode("latin-1"))
+    jobs.create_reasoning(spark, root, str(tmp_path / "out"), StubGenerator)
+    made = pd.read_csv(tmp_path / "out/r.csv")
+    assert made.to_dict("list") == {"expected_answer": ["b"], "problem": ["qué, sí o no"], "generated_solution": ["<think>qué, sí o no</think>\nb"]}
+
+
+def test_merge_takes_csv_in_any_case_by_name(spark, tmp_path):
+    root = put(tmp_path / "in", a_dot_csv='i,a\n1,"x\ny"\n', b_dot_CSV="a,z\n2,NA\n", sub__c_dot_csv="q\n1\n", d_dot_csv="")
+    assert jobs.merge_csv(spark, root, str(tmp_path)).columns == ["i", "a", "z"]
+    with open(tmp_path / "merged.csv", newline="") as f:
+        assert list(csv.reader(f)) == [["i", "a", "z"], ["1", "x\ny", ""], ["", "2", "NA"]]
+    (tmp_path / "none").mkdir()
+    assert jobs.merge_csv(spark, str(tmp_path / "none"), str(tmp_path)) is None
+
+
+def upper():
+    def convert(name, content):
+        if b"bad" in content:
+            raise ValueError("bad file")
+        return f"# {name}\n{content.decode()} " + "w" * 60
+
+    return convert
+
+
+def test_rag_and_pdf_jobs(spark, tmp_path):
+    root = put(tmp_path / "in", a_dot_PDF="one", b_dot_Docx="two", c_dot_pdf="bad", d_dot_Pdf="three", e_dot_txt="no")
+    done = jobs.documents_to_markdown(spark, root, str(tmp_path / "md"), upper)
+    assert {r.documento: r.error is None for r in done.collect()} == {"a.PDF": True, "c.pdf": False}
+    jobs.rag_questions(spark, root, str(tmp_path / "rag"), StubGenerator, convert_first=True, converter=upper)
+    made = pd.read_csv(tmp_path / "rag/ragval_dataset.csv")
+    assert list(made.id) == list(range(1, len(made) + 1)) and set(made.documento) <= {"a.md", "b.md", "d.md"}
+
+
+def test_summaries_job_and_named_files(spark, tmp_path):
+    root = put(tmp_path / "in", a_dot_md=f"## T\n\n{L}")
+    jobs.summaries(spark, root, str(tmp_path / "out"), StubGenerator)
+    assert (tmp_path / "out/a.md").read_text() == f"## T\n\n### {L[:80]}\n\n"
+    assert sinks.write_csv(spark.range(0), str(tmp_path / "no.csv")) is False and not (tmp_path / "no.csv").exists()
+    assert sinks.write_jsonl(spark.range(2), str(tmp_path / "two.jsonl")) and len((tmp_path / "two.jsonl").read_text().splitlines()) == 2
+
+
+def test_command_line(tmp_path):
+    config = tmp_path / "c.yaml"
+    config.write_text("data_path: in\noutput_path: out\nnum_questions: 5\nconvert_first: false\nbackend: inkmill.operators.generate:StubGenerator\n")
+    name, values = cli.parse(["ragval", "--config", str(config), "--num_variants", "3", "--convert_first", "true"])
+    assert name == "ragval" and values == {"data_path": "in", "output_path": "out", "num_questions": 5, "num_variants": 3, "convert_first": True, "backend": StubGenerator}
+
+
+def test_stream_of_files(spark, tmp_path):
+    body = "y" * 60
+    root = put(tmp_path / "in", a_dot_md=f"# A\n{body}\n# B\n{body}")
+    ingest.run(ingest.markdown_stream(spark, root), lambda d: chunk_by_header(d, min_chars=50), str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination(60)
+    put(tmp_path / "in", b_dot_md=f"# C\n{body}")
+    ingest.run(ingest.markdown_stream(spark, root), lambda d: chunk_by_header(d, min_chars=50), str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination(60)
+    assert sorted(r.header for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["A", "B", "C"]
