@@ -126,9 +126,9 @@ def _compare(rows: DataFrame) -> DataFrame:
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The rows without a leak, with all their columns."""
-    leaks = _leaks(docs, benchmark, text).select(F.col("doc_id").alias("leak_id"), F.col("text_hash").alias("leak_hash")).distinct()
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("leak_id")) & (F.xxhash64(F.coalesce(F.col(text), F.lit(""))) == F.col("leak_hash"))
-    return docs.join(leaks, same, "left_anti")
+    leaks = _leaks(docs, benchmark, text).select("doc_id", "text_hash").distinct()
+    body = F.coalesce(docs[text], F.lit(""))
+    return docs.join(leaks, docs["doc_id"].cast("long").eqNullSafe(leaks["doc_id"]) & (F.xxhash64(body) == leaks["text_hash"]), "left_anti")
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
