@@ -152,5 +152,5 @@ def _assess(docs: DataFrame, key: Column, text: str, shares: dict, words_by_lang
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assess(table(spark, sf_dir, "documents")).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("class_distance", 9).alias("class_distance"), F.round("distance", 9).alias("distance")
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("class_distance", 6).alias("class_distance"), F.round("distance", 6).alias("distance")
     )

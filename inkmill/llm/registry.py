@@ -6,6 +6,7 @@ from inkmill.llm.decontam import op10_decontamination
 from inkmill.llm.langid import op2_language_id
 from inkmill.llm.lmscore import op4_lm_scoring
 from inkmill.llm.neardup import op5_near_duplicates
+from inkmill.llm.oracle import ORACLE
 from inkmill.llm.packing import op1_best_fit_packing
 from inkmill.llm.pii import op3_pii
 from inkmill.llm.quality import op7_quality
@@ -29,5 +30,4 @@ QUERIES = {
     )
 }
 
-#: DuckDB SQL for the queries that SQL can state; the others are held against brute force in tests/llm.
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES"]
