@@ -152,10 +152,16 @@ def _split_ties(placed: DataFrame, pending: dict[int, tuple[Node, int]]) -> None
         node.salt = low[k]
 
 
-def shard(docs: DataFrame, shards: int = SHARDS, text: str = "text") -> DataFrame:
-    """doc_id, size, text_crc32, shard and slot: sizes near equal, slots gapless from 0 within a shard."""
+def shard(docs: DataFrame, shards: int = SHARDS, text: str = "text", target_bytes: int | None = None) -> DataFrame:
+    """doc_id, size, text_crc32, shard and slot: sizes near equal, slots gapless from 0 within a shard.
+
+    With target_bytes, nodes split until leaves have about that many bytes; else there are `shards` leaves.
+    """
     rows = saved(narrow(docs, text))
-    total = rows.count()
+    sums = rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("size"), F.lit(0)).alias("b")).first()
+    total = int(sums["n"])
+    if target_bytes:
+        shards = split_count(int(sums["b"]), target_bytes)
     tree = build_tree(rows, shards)
     groups = split_count(total, shards * SLOT_ROWS)
     dealt = rows.select("doc_id", "size", "text_crc32", "text_hash", tree.place().cast("int").alias("shard"))

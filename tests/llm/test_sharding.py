@@ -4,7 +4,7 @@ import zlib
 
 from helpers import ODD, documents, frame, save
 
-from inkmill.llm.sharding import op9_kd_sharding
+from inkmill.llm.sharding import op9_kd_sharding, shard
 
 
 def check(rows, texts, slack):
@@ -36,3 +36,10 @@ def test_odd_texts(spark, tmp_path):
     df = frame(spark, ODD)
     check(op9_kd_sharding(spark, save(df, tmp_path)).toPandas(), dict(enumerate(ODD)), 0)
     assert op9_kd_sharding(spark, save(df.limit(0), tmp_path)).count() == 0
+
+
+def test_leaves_of_a_target_size(spark):
+    texts = [f"text number {i} " * (1 + i % 7) for i in range(600)]
+    rows = shard(frame(spark, texts), target_bytes=10_000).toPandas()
+    sums = rows.groupby("shard")["size"].sum()
+    assert len(sums) == -(-rows["size"].sum() // 10_000) and sums.max() < 11_000
