@@ -195,7 +195,7 @@ def components(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMI
         found, _ = _confirm(rows.column("rep").to_numpy(), body.chunk(0), shingle, percent)
         return pa.table({"rep": rows.column("rep"), "component": pa.array(found)})
 
-    members = marked.filter("small").select("rep", "root").join(texts, "rep")
+    members = marked.filter("small").select("rep", "root").hint("merge").join(texts, "rep")
     found = members.groupBy("root").applyInArrow(confirm, "rep long, component long")
     giants = marked.filter("NOT small").select("rep")
     if not giants.isEmpty():
