@@ -22,14 +22,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkmill.llm.common import saved, table
 from inkmill.llm.hashing import Rolling, U, Words, mix, window_starts
 
 SHINGLE, SIMILARITY = 5, 0.8
-POOL, TREES, STEPS = 32, 16, (3, 6, 9)
+POOL, TREES, FIRST_TREES, STEPS = 32, 16, 4, (3, 6, 9)
 NODE_MAX = 64
 GROUP_MAX, GROUP_SHINGLES = 20_000, 16 << 20
 #: Minwise agreement below which a pair isn't confirmed; over 64 tokens six standard deviations under the least threshold in use.
@@ -109,15 +109,16 @@ def signatures(docs: DataFrame, shingle: int = SHINGLE, text: str = "text") -> D
     return rows.mapInArrow(run, "doc_id long, n long, fp1 long, fp2 long, nodes array<long>")
 
 
-def leaf_links(reps: DataFrame, node_max: int = NODE_MAX) -> DataFrame:
-    """(a, b): b shares a leaf with the leaf's first document a. Counts and minima are aggregated, never a node's members."""
+def leaf_links(level: DataFrame, node_max: int = NODE_MAX) -> DataFrame:
+    """(a, b): b shares a leaf with the leaf's first member a. `level` has a member b and its node after each of STEPS.
+
+    Counts and minima are aggregated, never a node's members; nodes with one member only, however many rows, go at once.
+    """
     depth = len(STEPS)
-    each = F.array(*(F.struct(*(F.get("nodes", F.lit(t * depth + k)).alias(f"s{k}") for k in range(depth))) for t in range(TREES)))
-    level = reps.select(F.col("rep").alias("b"), F.explode(each).alias("p")).select("b", *(f"p.s{k}" for k in range(depth)))
     out = None
     for k in range(depth):
         key = f"s{k}"
-        sizes = level.groupBy(key).agg(F.count(F.lit(1)).alias("c"), F.min("b").alias("a")).filter("c > 1")
+        sizes = level.select("b", key).distinct().groupBy(key).agg(F.count(F.lit(1)).alias("c"), F.min("b").alias("a")).filter("c > 1")
         met = level.join(sizes, key)
         last = k == depth - 1
         links = (met if last else met.filter(F.col("c") <= node_max)).filter("a < b").select("a", "b")
@@ -126,6 +127,26 @@ def leaf_links(reps: DataFrame, node_max: int = NODE_MAX) -> DataFrame:
     return out.distinct()
 
 
+def _nodes(reps: DataFrame, member: Column, trees: range) -> DataFrame:
+    depth = len(STEPS)
+    each = F.array(*(F.struct(*(F.get("nodes", F.lit(t * depth + k)).alias(f"s{k}") for k in range(depth))) for t in trees))
+    return reps.select(member.alias("b"), F.explode(each).alias("p")).select("b", *(f"p.s{k}" for k in range(depth)))
+
+
+def candidate_groups(reps: DataFrame) -> DataFrame:
+    """(rep, root) of all representatives that share a leaf with another, root the smallest of the group.
+
+    The first trees group most copies; the rest run over groups instead of documents, so that a large group of copies meets
+    itself no more.
+    """
+    first = saved(connected(leaf_links(_nodes(reps, F.col("rep"), range(FIRST_TREES)))).select(F.col("node").alias("rep"), F.col("root").alias("near")))
+    grouped = reps.join(first, "rep", "left").withColumn("near", F.coalesce("near", "rep"))
+    more = connected(leaf_links(_nodes(grouped, F.col("near"), range(FIRST_TREES, TREES)).distinct()))
+    merged = grouped.select("rep", "near").join(more, F.col("near") == F.col("node"), "left").select("rep", F.coalesce("root", "near").alias("root"))
+    roots = merged.filter("rep <> root").select("root").distinct()
+    return merged.join(roots, "root").select("rep", "root")
+
+
 def connected(links: DataFrame) -> DataFrame:
     """(node, root) for every node of the links (a < b), root the smallest node reachable: alternating stars until nothing moves."""
     edges = saved(links.select("a", "b").distinct())
@@ -182,8 +203,7 @@ def components(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMI
     sigs = saved(signatures(docs, shingle, text))
     live = sigs.filter("n > 0 AND doc_id IS NOT NULL")
     reps = saved(live.groupBy("fp1", "fp2", "n").agg(F.min("doc_id").alias("rep"), F.first("nodes").alias("nodes")))
-    group_of = connected(leaf_links(reps)).withColumnRenamed("node", "rep")
-    sized = saved(group_of.join(reps.select("rep", "n"), "rep"))
+    sized = saved(candidate_groups(reps).join(reps.select("rep", "n"), "rep"))
     sizes = sized.groupBy("root").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("shingles"))
     small = (F.col("docs") <= group_max) & (F.col("shingles") <= group_shingles)
     marked = sized.join(sizes.select("root", small.alias("small")), "root").select("rep", "root", "small")
