@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import functools
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 U = np.uint64
 _BYTE_BASE, _WORD_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
@@ -14,6 +16,16 @@ _MASK = (1 << 64) - 1
 SEGMENT = 1 << 20
 
 
+def sliced(batch: pa.RecordBatch, column: int, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of at most `most` bytes of text (or one row), so that working arrays stay small."""
+    sizes = np.concatenate(([0], np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))))
+    at = 0
+    while at < batch.num_rows:
+        end = max(at + 1, int(np.searchsorted(sizes, sizes[at] + most, side="right")) - 1)
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective scramble of 64-bit values."""
     x = x.astype(U, copy=True)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkmill.llm.common import table
-from inkmill.llm.hashing import U, Words, mix, squeeze, unsqueeze
+from inkmill.llm.hashing import U, Words, mix, sliced, squeeze, unsqueeze
 
 WORD_BITS, PAIR_BITS = 18, 21
 #: Weight of the pair estimate against the word estimate, and what is added to each word's count.
@@ -45,7 +45,7 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums = {(name, goal): np.zeros(1 << bits, np.int64) for name, bits in TABLES for goal in (0, 1)}
-    for batch in batches:
+    for batch in (s for b in batches for s in sliced(b, 0)):
         text, *cells = tokens(batch.column(0))
         aimed = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)[text]
         for (name, bits), cell in zip(TABLES, cells):
@@ -104,7 +104,7 @@ def score(docs: DataFrame, models: Models, text: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = shared.value
-        for batch in batches:
+        for batch in (s for b in batches for s in sliced(b, 1)):
             owner, *cells = tokens(batch.column(1))
             n = np.bincount(owner, minlength=batch.num_rows)
             means = [np.bincount(owner, both.loss(goal, *cells), batch.num_rows) / np.maximum(n, 1) for goal in (1, 0)]

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkmill.llm.common import saved, table
-from inkmill.llm.hashing import Rolling, U, Words, mix, window_starts
+from inkmill.llm.hashing import Rolling, U, Words, mix, sliced, window_starts
 
 SHINGLE, SIMILARITY = 5, 0.8
 POOL, TREES, FIRST_TREES, STEPS = 32, 16, 4, (3, 6, 9)
@@ -94,7 +94,7 @@ def signatures(docs: DataFrame, shingle: int = SHINGLE, text: str = "text") -> D
     """doc_id, n (distinct shingles), a 128-bit fingerprint of the set, and the tree nodes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (s for b in batches for s in sliced(b, 1)):
             sets = Sets(batch.column(1), shingle)
             whole = [np.zeros(batch.num_rows, np.int64) for _ in range(2)]
             for w, salt in zip(whole, (0, 0xA0761D6478BD642F)):
