@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from inkmill.plans.scratch import saved
+
+__all__ = ["WORD", "WS", "let", "measure", "saved", "split_count", "table"]
+
 #: ASCII white space; a word is a maximal run of anything else.
 WS = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -23,44 +23,6 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def trimmed(text: Column) -> Column:
-    return F.regexp_replace(text, r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+\z", "")
-
-
-def words_of(text: Column) -> Column:
-    """Words of a non-null text; an empty array where there is none."""
-    return F.filter(F.split(text, WS), lambda w: w != "")
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor sees: spark.checkpoint.dir, or a private one where the session names none (local runs, tests)."""
-    known = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if known:
-        return known.rstrip("/")
-    own = getattr(spark.sparkContext, "_inkmill_scratch", None)
-    if own is None:
-        own = spark.sparkContext._inkmill_scratch = tempfile.mkdtemp(prefix="inkmill-")
-    return own
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    try:
-        jvm = spark.sparkContext._jvm
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-    except Exception:  # noqa: BLE001  the session may be gone at exit
-        return
-
-
-def saved(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a Parquet table in the shared folder: written once, survives lost executors, dropped when Python ends."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/inkmill-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    atexit.register(_delete, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def measure(docs: DataFrame, text: str = "text") -> tuple[int, int]:
     """Rows and UTF-8 bytes of text: two numbers that size partitions and buckets."""
     row = docs.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length(F.col(text))), F.lit(0)).alias("b")).first()

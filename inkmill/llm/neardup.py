@@ -176,7 +176,7 @@ def _confirm(ids: np.ndarray, texts: pa.Array, shingle: int, percent: int) -> tu
     m = len(ids)
     tokens = np.zeros((m, TOKENS), U)
     tokens[sets.filled] = sets.minwise(TOKENS)
-    tokens = (tokens >> U(32)).astype(np.uint32)  # the high bits of a minimum are mostly zero, the low ones of no use here
+    tokens = (tokens >> U(32)).astype(np.uint32)  # 32 bits tell minima apart well enough to rule pairs out
     root, links = np.arange(m), []
     for i in range(1, m):
         agree = (tokens[:i] == tokens[i]).mean(axis=1)
