@@ -9,30 +9,36 @@ from pyspark.sql import DataFrame, SparkSession
 
 from inkmill.llm import decontam, neardup, packing, pii, quality
 from inkmill.llm.common import saved, table
+from inkmill.plans.ship import ship
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
+    ship(spark)
     return quality.keep_documents(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays, the one with the smallest id."""
+    ship(spark)
     return neardup.drop_near_duplicates(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that leak a benchmark item, also with other numbers or names, go."""
+    ship(spark)
     return decontam.drop_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data in the text is masked by its kind; n_chars follows."""
+    ship(spark)
     return pii.redact(docs, lengths="n_chars")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences, packed."""
+    ship(spark)
     return packing.pack_documents(docs, packing.default_tokenizer())
 
 
