@@ -97,7 +97,11 @@ def assess(docs: DataFrame, text: str = "text", shares: dict = CLASS_SHARES, wor
 def keep_documents(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows that pass, with all their columns. The row is carried along, so there is no join."""
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
-    return _assess(docs, row, text, CLASS_SHARES, WORD_SHARES).filter("kept").select("row.*")
+    judged = _assess(docs, row, text, CLASS_SHARES, WORD_SHARES)
+    # A filter on a deterministic column is pushed below the projections, which writes every histogram out again wherever it
+    # is used; a row number in the column keeps the verdict where it is, computed once.
+    once = (F.col("kept") & (F.monotonically_increasing_id() >= 0)).alias("kept")
+    return judged.select("row", once).filter("kept").select("row.*")
 
 
 def _assess(docs: DataFrame, key: Column, text: str, shares: dict, words_by_lang: dict) -> DataFrame:
