@@ -119,7 +119,7 @@ def labelled(docs: DataFrame, labels: DataFrame, text: str = "text") -> DataFram
     """text and target: documents with a quality label of 1 are the target."""
     good = labels.filter("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("good_id")).distinct()
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return rows.join(good, F.col("doc_id") == F.col("good_id"), "left").select("text", F.col("good_id").isNotNull().alias("target"))
+    return rows.join(good.hint("merge"), F.col("doc_id") == F.col("good_id"), "left").select("text", F.col("good_id").isNotNull().alias("target"))
 
 
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
