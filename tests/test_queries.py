@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 
 from inkmill import queries
@@ -12,7 +13,7 @@ from inkmill import queries
 
 def rows(frame):
     frame = frame[sorted(frame.columns)]
-    clean = lambda v: None if v is None or v != v else int(v) if isinstance(v, float) and v == int(v) else v
+    clean = lambda v: None if pd.isna(v) else int(v) if isinstance(v, float) and v == int(v) else v
     return sorted((tuple(clean(v) for v in r) for r in frame.itertuples(index=False, name=None)), key=repr)
 
 
