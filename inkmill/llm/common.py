@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from inkmill.plans.scratch import saved
 
-__all__ = ["WORD", "WS", "let", "measure", "saved", "split_count", "table"]
+__all__ = ["WORD", "WS", "let", "measure", "saved", "sized_for_join", "split_count", "table"]
 
 #: ASCII white space; a word is a maximal run of anything else.
 WS = r"[\x20\x09-\x0D]+"
@@ -31,3 +31,12 @@ def measure(docs: DataFrame, text: str = "text") -> tuple[int, int]:
 
 def split_count(total: int, target: int, least: int = 1, most: int = 1 << 20) -> int:
     return max(least, min(most, -(-total // target)))
+
+
+#: Narrow rows (a few numbers each) that may be broadcast: some tens of MB.
+BROADCAST_ROWS = 1_000_000
+
+
+def sized_for_join(narrow: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """The side of a join, to be broadcast if it has at most so many rows by count, else joined by sort-merge."""
+    return F.broadcast(narrow) if narrow.limit(most + 1).count() <= most else narrow.hint("merge")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkmill.llm.common import saved, table
+from inkmill.llm.common import saved, sized_for_join, table
 from inkmill.llm.hashing import Rolling, U, Words, mix, sliced, window_starts
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -112,13 +112,13 @@ def signatures(docs: DataFrame, shingle: int = SHINGLE, text: str = "text") -> D
 def leaf_links(level: DataFrame, node_max: int = NODE_MAX) -> DataFrame:
     """(a, b): b shares a leaf with the leaf's first member a. `level` has a member b and its node after each of STEPS.
 
-    Counts and minima are aggregated, never a node's members; nodes with one member only, however many rows, go at once.
+    Counts and extremes are aggregated, never a node's members; nodes with one member only, however many rows, go at once.
     """
     depth = len(STEPS)
     out = None
     for k in range(depth):
         key = f"s{k}"
-        sizes = level.select("b", key).distinct().groupBy(key).agg(F.count(F.lit(1)).alias("c"), F.min("b").alias("a")).filter("c > 1")
+        sizes = level.groupBy(key).agg(F.count(F.lit(1)).alias("c"), F.min("b").alias("a"), F.max("b").alias("z")).filter("a < z").drop("z")
         met = level.join(sizes, key)
         last = k == depth - 1
         links = (met if last else met.filter(F.col("c") <= node_max)).filter("a < b").select("a", "b")
@@ -141,7 +141,7 @@ def candidate_groups(reps: DataFrame) -> DataFrame:
     """
     first = saved(connected(leaf_links(_nodes(reps, F.col("rep"), range(FIRST_TREES)))).select(F.col("node").alias("rep"), F.col("root").alias("near")))
     grouped = reps.join(first, "rep", "left").withColumn("near", F.coalesce("near", "rep"))
-    more = connected(leaf_links(_nodes(grouped, F.col("near"), range(FIRST_TREES, TREES)).distinct()))
+    more = connected(leaf_links(_nodes(grouped, F.col("near"), range(FIRST_TREES, TREES))))
     merged = grouped.select("rep", "near").join(more, F.col("near") == F.col("node"), "left").select("rep", F.coalesce("root", "near").alias("root"))
     roots = merged.filter("rep <> root").select("root").distinct()
     return merged.join(roots, "root").select("rep", "root")
@@ -215,7 +215,7 @@ def components(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMI
         found, _ = _confirm(rows.column("rep").to_numpy(), body.chunk(0), shingle, percent)
         return pa.table({"rep": rows.column("rep"), "component": pa.array(found)})
 
-    members = marked.filter("small").select("rep", "root").hint("merge").join(texts, "rep")
+    members = texts.join(sized_for_join(marked.filter("small").select("rep", "root")), "rep")
     found = members.groupBy("root").applyInArrow(confirm, "rep long, component long")
     giants = marked.filter("NOT small").select("rep")
     if not giants.isEmpty():
@@ -248,7 +248,8 @@ def _giants(reps: DataFrame, texts: DataFrame, shingle: int, percent: int, chunk
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY, text: str = "text") -> DataFrame:
     """The rows kept, one document of each component, with all their columns."""
-    gone = components(docs, shingle, similarity, text).filter("NOT kept").select(F.col("doc_id").alias("gone_id")).distinct()
+    gone = saved(components(docs, shingle, similarity, text).filter("NOT kept").select(F.col("doc_id").alias("gone_id")).distinct())
+    gone = sized_for_join(gone)
     return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
 
 
