@@ -39,4 +39,4 @@ BROADCAST_ROWS = 1_000_000
 
 def sized_for_join(narrow: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     """The side of a join, to be broadcast if it has at most so many rows by count, else joined by sort-merge."""
-    return F.broadcast(narrow) if narrow.limit(most + 1).count() <= most else narrow.hint("merge")
+    return F.broadcast(narrow) if narrow.count() <= most else narrow.hint("merge")
