@@ -148,26 +148,26 @@ def candidate_groups(reps: DataFrame) -> DataFrame:
 
 
 def connected(links: DataFrame) -> DataFrame:
-    """(node, root) for every node of the links (a < b), root the smallest node reachable: alternating stars until nothing moves."""
+    """(node, root) for every node of the links (a < b), root the smallest node reachable: alternating stars until only stars are left."""
     edges = saved(links.select("a", "b").distinct())
-    before = None
-    while True:
+    while not _stars(edges):
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.join(least, "a").filter("b > a").select(F.col("m").alias("a"), "b")
-        large = large.filter("a < b").distinct()
+        large = both.join(least, "a").filter("b > a AND m < b").select(F.col("m").alias("a"), "b")
         low = large.groupBy("b").agg(F.min("a").alias("m"))
         joined = large.join(low, "b")
         small = joined.filter("a > m").select(F.col("m").alias("a"), F.col("a").alias("b")).union(low.select(F.col("m").alias("a"), "b"))
         edges = saved(small.filter("a < b").distinct())
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == before:
-            break
-        before = now
     roots = edges.select(F.col("a").alias("node"), F.col("a").alias("root")).union(edges.select(F.col("b").alias("node"), F.col("a").alias("root")))
     return roots.groupBy("node").agg(F.min("root").alias("root"))
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether every larger end has one smaller end, and no node is both."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(0).alias("up")).union(edges.select(F.col("b").alias("node"), F.lit(1).alias("up")))
+    return ends.groupBy("node").agg(F.min("up").alias("low"), F.max("up").alias("high"), F.sum("up").alias("times")).filter("low < high OR times > 1").isEmpty()
+
+
 def _confirm(ids: np.ndarray, texts: pa.Array, shingle: int, percent: int) -> tuple[np.ndarray, list[tuple[int, int]]]:
     """The component (smallest id) of each text, and a spanning set of confirmed links."""
     order = np.argsort(ids, kind="stable")
