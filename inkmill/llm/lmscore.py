@@ -1,10 +1,13 @@
 """Language-model scoring by cross-entropy difference.
 
-A target and a background bigram model share one vocabulary: lower-cased words hashed to 2**`WORD_BITS` ids, word pairs to
-2**`PAIR_BITS` cells. Both are counted over all documents in one pass and matched in size, the background's counts scaled to
-the target's total, so that smoothing weighs alike in both. A document's score is its mean loss per token under the background
-model less that under the target model: the higher, the more it resembles the target. The tables have a fixed size whatever
-the corpus, so they can be broadcast; each task sends its own counts in compressed chunks and chunks are summed as a stream.
+A target and a background bigram model count lower-cased words, the words' contexts and word pairs, each known by a 62-bit
+hash. Both are counted over all documents, and matched in size, the background's counts scaled to the target's total, so that
+smoothing weighs alike in both. A document's score is its mean loss per token under the background model less that under the
+target model: the higher, the more it resembles the target.
+
+The counts grow with the corpus and stay distributed: each task sums its own, sends them in compressed blobs to ranges of keys,
+and the ranges add them up. To score, each part of the documents asks every range for the counts of its own distinct keys.
+Ranges are made by bytes of text, so one range's keys fit a task; only three totals reach the driver.
 
 Defined results: a null or blank text has no tokens, null losses and score 0; a document is target if any of its labels says so;
 rows with a null doc_id count as background; repeated rows are counted and scored each; without any target document all
@@ -13,106 +16,190 @@ scores are those of a smoothed uniform target; an empty table gives an empty res
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkmill.llm.common import table
-from inkmill.llm.hashing import U, Words, mix, sliced, squeeze, unsqueeze
+from inkmill.llm.common import measure, saved, split_count, table
+from inkmill.llm.hashing import U, Words, bucket_bounds, group_starts, mix, sliced, squeeze, squeeze_sorted, unsqueeze, unsqueeze_sorted
 
-WORD_BITS, PAIR_BITS = 18, 21
+#: Words that smoothing allows for are 2**WORD_BITS, or the distinct words of the corpus where these are more.
+WORD_BITS = 18
 #: Weight of the pair estimate against the word estimate, and what is added to each word's count.
 PAIR_WEIGHT, ADD = 0.6, 0.1
-_CHUNK = 1 << 16
+#: Bytes of text whose keys are asked for in one go, whose counts a task holds before it sends them, and per range of keys.
+PART, HELD, RANGE = 8 << 20, 32 << 20, 32 << 20
 _START = 0x2545F4914F6CDD1D
-TABLES = (("word", WORD_BITS), ("context", WORD_BITS), ("pair", PAIR_BITS))
+WORD, CONTEXT, PAIR = range(3)
+
 
+def tokens(texts: pa.Array) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Of every word: its text, and the keys of itself, its context and its pair. The first word's context is the text's start.
 
-def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of every word: its text, its id, its context's id and its pair's cell. The first word's context is the text's start."""
+    The lowest two bits of a key tell its kind.
+    """
     words = Words(texts)
     data = np.where((words.data >= 65) & (words.data <= 90), words.data + 32, words.data).astype(np.uint8)
     word = words.hashes(data)
     before = np.concatenate((np.zeros(1, U), word[:-1])) if len(word) else word
     before[words.first[words.count > 0]] = U(_START)
-    pair = mix(before * U(0x9E3779B97F4A7C15) + word)
-    cut = lambda h, bits: (h >> U(64 - bits)).astype(np.int64)
-    return words.text, cut(word, WORD_BITS), cut(mix(before), WORD_BITS), cut(pair, PAIR_BITS)
+    keyed = lambda h, kind: (mix(h) & ~U(3)) | U(kind)
+    return words.text, [keyed(word, WORD), keyed(before, CONTEXT), keyed(before * U(0x9E3779B97F4A7C15) + word, PAIR)]
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    sums = {(name, goal): np.zeros(1 << bits, np.int64) for name, bits in TABLES for goal in (0, 1)}
-    for batch in (s for b in batches for s in sliced(b, 0)):
-        text, *cells = tokens(batch.column(0))
-        aimed = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)[text]
-        for (name, bits), cell in zip(TABLES, cells):
-            sums[name, 0] += np.bincount(cell, minlength=1 << bits)
-            sums[name, 1] += np.bincount(cell[aimed], minlength=1 << bits)
-    rows = [(f"{name}:{goal}:{i}", squeeze(v[i : i + _CHUNK].astype(U))) for (name, goal), v in sums.items() for i in range(0, len(v), _CHUNK) if v[i : i + _CHUNK].any()]
-    yield _chunks(rows)
+def _summed(keys: list[np.ndarray], counts: list[list[np.ndarray]]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Distinct keys in order, and their counts of both kinds."""
+    key = np.concatenate(keys) if keys else np.zeros(0, U)
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    at = group_starts(key)
+    return key[at], [np.add.reduceat(np.concatenate(c)[order], at) if len(at) else np.zeros(0, U) for c in counts]
 
 
-def _chunks(rows: list[tuple[str, bytes]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.binary())], ["chunk", "counts"])
-
+def _count(batches: Iterator[pa.RecordBatch], ranges: int) -> Iterator[pa.RecordBatch]:
+    keys, every, aimed, held = [], [], [], 0
+    for batch in (s for b in batches for s in sliced(b, 0)):
+        text, kinds = tokens(batch.column(0))
+        goal = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)[text]
+        for kind in kinds:
+            key, which = np.unique(kind, return_inverse=True)
+            keys.append(key)
+            every.append(np.bincount(which, minlength=len(key)).astype(U))
+            aimed.append(np.bincount(which[goal], minlength=len(key)).astype(U))
+        held += batch.column(0).nbytes
+        if held >= HELD:
+            yield _sent(*_summed(keys, [every, aimed]), ranges)
+            keys, every, aimed, held = [], [], [], 0
+    yield _sent(*_summed(keys, [every, aimed]), ranges)
+
+
+def _sent(keys: np.ndarray, counts: list[np.ndarray], ranges: int) -> pa.RecordBatch:
+    at = bucket_bounds(keys, ranges)
+    full = np.flatnonzero(at[1:] > at[:-1])
+    blobs = [pa.array([squeeze(c[at[i] : at[i + 1]]) for i in full], pa.binary()) for c in counts]
+    return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array([squeeze_sorted(keys[at[i] : at[i + 1]]) for i in full], pa.binary()), *blobs], ["range", "keys", "every", "aimed"])
+
+
+def _add(rows: pa.Table) -> pa.Table:
+    """The counts of one range, and what it has of words: how many distinct ones, how many in all and in the target."""
+    read = lambda name, how: [how(x.as_py()) for x in rows.column(name)]
+    keys, (every, aimed) = _summed(read("keys", unsqueeze_sorted), [read("every", unsqueeze), read("aimed", unsqueeze)])
+    word = (keys & U(3)) == U(WORD)
+    sums = [[int(word.sum())], [int(every[word].sum())], [int(aimed[word].sum())]]
+    blobs = [[squeeze_sorted(keys)], [squeeze(every)], [squeeze(aimed)]]
+    return pa.table([rows.column("range").slice(0, 1), *(pa.array(b, pa.binary()) for b in blobs), *(pa.array(n, pa.int64()) for n in sums)], ["range", "keys", "every", "aimed", "n_words", "all_words", "aimed_words"])
+
+
+@dataclass(frozen=True)
+class Totals:
+    """What both models share beside the counts."""
+
+    n_words: int
+    all_words: int
+    aimed_words: int
 
-def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    sums: dict[str, np.ndarray] = {}
-    for batch in batches:
-        for chunk, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
-            got = unsqueeze(counts.as_py())
-            sums[chunk] = sums[chunk] + got if chunk in sums else got
-    yield _chunks([(k, squeeze(v)) for k, v in sums.items()])
+    def loss(self, goal: int, word: np.ndarray, context: np.ndarray, pair: np.ndarray) -> np.ndarray:
+        """Of tokens with these counts under the background (0) or the target model (1)."""
+        whole = self.aimed_words if goal else self.all_words
+        k = self.aimed_words / self.all_words if not goal and self.aimed_words and self.all_words else 1.0
+        alone = (word * k + ADD) / (whole * k + ADD * max(1 << WORD_BITS, self.n_words))
+        both = np.divide(pair, context, out=np.zeros(len(word)), where=context > 0)
+        return -np.log(np.where(context > 0, PAIR_WEIGHT * both + (1 - PAIR_WEIGHT) * alone, alone))
 
 
+@dataclass(frozen=True)
 class Models:
-    """Probabilities of both models by word id, context id and pair cell."""
-
-    def __init__(self, chunks: dict[str, bytes]) -> None:
-        self.counts = {(name, goal): np.zeros(1 << bits, np.float32) for name, bits in TABLES for goal in (0, 1)}
-        for key, blob in chunks.items():
-            name, goal, at = key.split(":")
-            got = unsqueeze(blob)
-            self.counts[name, int(goal)][int(at) : int(at) + len(got)] = got
-        aimed, all_ = (float(self.counts["word", g].sum(dtype=np.float64)) for g in (1, 0))
-        self.scale = {1: 1.0, 0: aimed / all_ if aimed and all_ else 1.0}
-        self.total = {g: float(self.counts["word", g].sum(dtype=np.float64)) * self.scale[g] for g in (0, 1)}
+    """Counts by ranges of keys, as a table, and their totals."""
 
-    def loss(self, goal: int, word: np.ndarray, context: np.ndarray, pair: np.ndarray) -> np.ndarray:
-        k = self.scale[goal]
-        size = 1 << WORD_BITS
-        alone = (self.counts["word", goal][word] * k + ADD) / (self.total[goal] + ADD * size)
-        seen = self.counts["context", goal][context].astype(np.float64) * k
-        both = np.divide(self.counts["pair", goal][pair] * k, seen, out=np.zeros(len(word)), where=seen > 0)
-        return -np.log(np.where(seen > 0, PAIR_WEIGHT * np.minimum(both, 1.0) + (1 - PAIR_WEIGHT) * alone, alone))
+    counts: DataFrame
+    ranges: int
+    totals: Totals
 
 
-def train(docs: DataFrame, text: str = "text", target: str = "target") -> Models:
-    """Both models from all rows; `target` says which belong to the target."""
+def train(docs: DataFrame, text: str = "text", target: str = "target", ranges: int | None = None) -> Models:
+    """Both models from all rows; `target` says which belong to the target. `ranges` are as the bytes of text ask for, if not given."""
     rows = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text"), F.coalesce(F.col(target), F.lit(False)).alias("target"))
-    sent = rows.mapInArrow(_count, "chunk string, counts binary")
-    summed = sent.repartition(F.col("chunk")).mapInArrow(_add, "chunk string, counts binary")
-    return Models({r["chunk"]: r["counts"] for r in summed.collect()})
+    ranges = ranges or split_count(measure(rows)[1], RANGE)
+    sent = rows.mapInArrow(functools.partial(_count, ranges=ranges), "range int, keys binary, every binary, aimed binary")
+    counts = saved(sent.groupBy("range").applyInArrow(_add, "range int, keys binary, every binary, aimed binary, n_words long, all_words long, aimed_words long"))
+    sums = counts.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_words", "all_words", "aimed_words"))).first()
+    return Models(counts.select("range", "keys", "every", "aimed"), ranges, Totals(*(int(n) for n in sums)))
+
+
+def _asked(batches: Iterator[pa.RecordBatch], ranges: int) -> Iterator[pa.RecordBatch]:
+    """Each part's distinct keys by range, and one row with the part's documents, compressed."""
+    task = TaskContext.get().partitionId()
+    for number, batch in enumerate(s for b in batches for s in sliced(b, 1, PART)):
+        _, kinds = tokens(batch.column(1))
+        keys = _distinct(kinds)
+        at = bucket_bounds(keys, ranges)
+        full = np.flatnonzero(at[1:] > at[:-1]).tolist()
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            out.write_batch(batch)
+        blobs = [squeeze_sorted(keys[at[i] : at[i + 1]]) for i in full]
+        part = (task << 32) + number
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([*full, (task + number) % ranges], pa.int32()), pa.array([part] * (len(full) + 1), pa.int64()), pa.array([*blobs, None], pa.binary()), pa.array([None] * len(full) + [sink.getvalue().to_pybytes()], pa.binary())],
+            ["range", "part", "asked", "docs"],
+        )
+
+
+def _distinct(kinds: list[np.ndarray]) -> np.ndarray:
+    return np.sort(np.concatenate([np.unique(k) for k in kinds]))
+
+
+def _answered(rows: pa.Table, model: pa.Table) -> pa.Table:
+    """The counts of the keys asked for, in their order; 0 for keys that the model lacks. Documents pass."""
+    keys, counts = np.zeros(0, U), [np.zeros(0, U), np.zeros(0, U)]
+    if model.num_rows:
+        keys, counts = unsqueeze_sorted(model.column("keys")[0].as_py()), [unsqueeze(model.column(c)[0].as_py()) for c in ("every", "aimed")]
+    found = []
+    for blob in rows.column("asked"):
+        if not blob.is_valid:
+            found.append((None, None))
+            continue
+        asked = unsqueeze_sorted(blob.as_py())
+        if not len(keys):
+            found.append((squeeze(np.zeros(len(asked), U)),) * 2)
+            continue
+        at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+        found.append(tuple(squeeze(np.where(keys[at] == asked, c[at], U(0))) for c in counts))
+    return pa.table([rows.column("part"), rows.column("range"), *(pa.array([f[g] for f in found], pa.binary()) for g in (0, 1)), rows.column("docs")], ["part", "range", "every", "aimed", "docs"])
+
+
+def _scored(rows: pa.Table, totals: Totals) -> pa.Table:
+    """The documents of one part with their losses, from the counts of its keys."""
+    held = [x.as_py() for x in rows.column("docs") if x.is_valid][0]
+    batch = pa.ipc.open_stream(held).read_next_batch()
+    rows = rows.filter(rows.column("every").is_valid()).sort_by("range")
+    owner, kinds = tokens(batch.column(1))
+    keys = _distinct(kinds)
+    counts = [np.concatenate([np.zeros(0, U), *(unsqueeze(x.as_py()) for x in rows.column(c))]).astype(np.float64) for c in ("every", "aimed")]
+    at = [np.searchsorted(keys, k) for k in kinds]
+    n = np.bincount(owner, minlength=batch.num_rows)
+    means = [np.bincount(owner, totals.loss(goal, *(counts[goal][i] for i in at)), batch.num_rows) / np.maximum(n, 1) for goal in (1, 0)]
+    losses = [pa.array(m, mask=n == 0) for m in means]
+    return pa.table([batch.column(0), pa.array(n, pa.int64()), *losses, pa.array(means[1] - means[0])], ["doc_id", "n_tokens", "loss_target", "loss_background", "score"])
 
 
 def score(docs: DataFrame, models: Models, text: str = "text") -> DataFrame:
     """doc_id, n_tokens, loss_target, loss_background and score for every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(models)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    asked = rows.mapInArrow(functools.partial(_asked, ranges=models.ranges), "range int, part long, asked binary, docs binary")
+    answered = asked.groupBy("range").cogroup(models.counts.groupBy("range")).applyInArrow(_answered, "part long, range int, every binary, aimed binary, docs binary")
+    totals = models.totals
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = shared.value
-        for batch in (s for b in batches for s in sliced(b, 1)):
-            owner, *cells = tokens(batch.column(1))
-            n = np.bincount(owner, minlength=batch.num_rows)
-            means = [np.bincount(owner, both.loss(goal, *cells), batch.num_rows) / np.maximum(n, 1) for goal in (1, 0)]
-            losses = [pa.array(m, mask=n == 0) for m in means]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), *losses, pa.array(means[1] - means[0])], ["doc_id", "n_tokens", "loss_target", "loss_background", "score"])
+    def scored(rows: pa.Table) -> pa.Table:
+        return _scored(rows, totals)
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_tokens long, loss_target double, loss_background double, score double")
+    return answered.groupBy("part").applyInArrow(scored, "doc_id long, n_tokens long, loss_target double, loss_background double, score double")
 
 
 def labelled(docs: DataFrame, labels: DataFrame, text: str = "text") -> DataFrame:
@@ -124,4 +211,5 @@ def labelled(docs: DataFrame, labels: DataFrame, text: str = "text") -> DataFram
 
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return score(docs, train(labelled(docs, table(spark, sf_dir, "labels"))))
+    ranges = split_count(measure(docs)[1], RANGE)
+    return score(docs, train(labelled(docs, table(spark, sf_dir, "labels")), ranges=ranges))

@@ -57,3 +57,26 @@ def test_target_like_documents_score_higher_and_nothing_breaks_without_target(sp
     assert joined[joined.quality == 1].score.mean() > joined[joined.quality == 0].score.mean()
     texts = {0: "a b", 1: None}
     assert run(spark, texts, set())[1] == (0, 0.0)
+
+
+def test_more_pairs_than_any_fixed_table_are_counted_apart(spark):
+    """1.8M random pairs would share many of 2**21 cells; scores stay those of exact counts."""
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    texts = {i: " ".join(f"w{k}" for k in rng.integers(0, 60_000, 60_000)) for i in range(30)}
+    texts[30] = texts[3][: len(texts[3]) // 2]
+    want, got = brute(texts, {3, 30}), run(spark, texts, {3, 30})
+    for i in want:
+        assert got[i][0] == want[i][0] and got[i][1] == pytest.approx(want[i][1], abs=1e-6)
+
+
+def test_counts_meet_over_many_ranges_and_parts(spark, monkeypatch):
+    from inkmill.llm import lmscore
+
+    monkeypatch.setattr(lmscore, "RANGE", 100)
+    texts = {i: f"Word{i} and word{i % 7} meet word{i % 3} and others" for i in range(60)} | {60: None, 61: "  "}
+    want, got = brute(texts, {1, 8}), run(spark, texts, {1, 8})
+    assert got.keys() == want.keys()
+    for i in want:
+        assert got[i][0] == want[i][0] and got[i][1] == pytest.approx(want[i][1], abs=1e-9)
