@@ -1,9 +1,10 @@
 """Benchmark decontamination by template canonicalisation.
 
 Words are stripped of punctuation and lower-cased; numbers, names (capitalised words inside a sentence) and units after a
-number become typed placeholders. Windows of template words of the documents, every fourth of them, are hash-joined with all
-windows of the benchmark items; a shared stretch of 11 words or more always meets. Each candidate alignment is then compared
-word by word: the document leaks the item if enough template words agree and the placeholders' values map one to one, so
+number become typed placeholders. All windows of three template words (two where an item's length asks for it) of the documents
+are hash-joined with all windows of the benchmark items. An alignment with as many agreeing words as a leak needs shares at
+least a number of windows with its item that follows from the item's length; alignments with fewer are none, so no leak is
+missed. Each candidate alignment is then compared word by word: the document leaks the item if enough template words agree and the placeholders' values map one to one, so
 that a question with other numbers or names in it is found, and an accidental agreement of placeholders is not.
 
 Main path: SQL expressions and joins only. The benchmark's windows are broadcast only below `BROADCAST_BYTES` of text.
@@ -20,9 +21,8 @@ from pyspark.sql import functions as F
 
 from inkmill.llm.common import let, measure, table
 
-WINDOW, STRIDE = 8, 4
-#: Words of a benchmark window that are no placeholders, at least.
-PLAIN_WORDS = 4
+#: Words of a window, the first width for which every leak of an item has to share a window with it.
+WIDTHS = (3, 2)
 #: A leak: a run of so many agreeing words, or such a share of the item's; and so many agreeing words that are no placeholders.
 RUN, SHARE, LEAST_PLAIN = 13, 0.7, 7
 BROADCAST_BYTES = 16 << 20
@@ -49,11 +49,21 @@ def _list(text: Column) -> Column:
     return F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
 
 
-def _windows(words: Column, stride: int) -> Column:
-    """(position, hash) of the windows, from 0."""
-    last = F.size(words) - WINDOW
-    hashed = lambda i: F.struct(i.alias("pos"), F.xxhash64(F.slice(words, i + 1, F.lit(WINDOW))).alias("h"))
-    return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last, F.lit(stride)), hashed)).otherwise(F.array())
+def _windows(words: Column, width: int) -> Column:
+    """(position, hash) of all windows, from 0."""
+    last = F.size(words) - width
+    hashed = lambda i: F.struct(i.alias("pos"), F.xxhash64(*(F.get(words, i + k) for k in range(width))).alias("h"))
+    return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), hashed)).otherwise(F.array())
+
+
+def _shared(length: Column, width: int) -> Column:
+    """Windows that an alignment with enough agreeing words shares with its item at least, by the item's length.
+
+    So many words that agree, the others between them, form at most one stretch more than there are others, and a stretch has
+    `width` - 1 windows fewer than words.
+    """
+    agree = F.greatest(F.ceil(SHARE * length), F.lit(LEAST_PLAIN))
+    return agree - (width - 1) * (length - agree + 1)
 
 
 def _is_slot(word: Column) -> Column:
@@ -79,13 +89,21 @@ def _leaks(docs: DataFrame, benchmark: DataFrame, text: str) -> DataFrame:
     few = measure(benchmark)[1] <= BROADCAST_BYTES
     small = F.broadcast if few else (lambda df: df)
     items = _items(benchmark)
-    index = items.select("item_id", F.explode(_windows(F.col("item_words"), 1)).alias("w"), "item_words")
-    plain = F.size(F.filter(F.slice("item_words", F.col("w.pos") + 1, F.lit(WINDOW)), lambda x: ~_is_slot(x)))
-    index = index.filter(plain >= PLAIN_WORDS).select("item_id", F.col("w.pos").alias("item_pos"), F.col("w.h").alias("h"))
+    length = F.size("item_words")
+    width = F.coalesce(*(F.when(_shared(length, w) >= 1, F.lit(w)) for w in WIDTHS))
+    long_enough = items.filter(length >= LEAST_PLAIN).withColumn("width", width)
+    widths = sorted(r["width"] for r in long_enough.select("width").distinct().collect())
     keyed = _keyed(docs, text)
-    probes = keyed.select("doc_id", "text_hash", F.explode(let(_list(template(marked(F.col("text")))), lambda w: _windows(w, STRIDE))).alias("w"))
+    # a run that makes a leak by itself may lie in an item of which the rest differs; an item has windows of its own width only
+    need = F.coalesce(*(F.when(F.col("width") == w, F.least(_shared(length, w), F.lit(RUN - w + 1))) for w in WIDTHS)).alias("need")
+    index = long_enough.select("item_id", need, F.explode(F.coalesce(*(F.when(F.col("width") == w, _windows(F.col("item_words"), w)) for w in WIDTHS))).alias("w"))
+    index = index.select("item_id", "need", F.col("w.pos").alias("item_pos"), F.col("w.h").alias("h"))
+    every = let(_list(template(marked(F.col("text")))), lambda words: F.concat(*(_windows(words, w) for w in widths or WIDTHS)))
+    probes = keyed.select("doc_id", "text_hash", F.explode(every).alias("w"))
     hits = probes.select("doc_id", "text_hash", F.col("w.pos").alias("pos"), F.col("w.h").alias("h")).join(small(index), "h")
-    aligned = hits.select("doc_id", "text_hash", "item_id", (F.col("pos") - F.col("item_pos")).alias("shift")).distinct()
+    # repeated rows count more, which only adds candidates
+    aligned = hits.groupBy("doc_id", "text_hash", "item_id", "need", (F.col("pos") - F.col("item_pos")).alias("shift")).agg(F.count(F.lit(1)).alias("hits"))
+    aligned = aligned.filter("hits >= need").select("doc_id", "text_hash", "item_id", "shift")
     found = keyed.alias("d").join(aligned.alias("a"), F.expr("d.doc_id <=> a.doc_id AND d.text_hash = a.text_hash")).select("d.doc_id", "d.text_hash", "d.text", "a.item_id", "a.shift")
     found = found.withColumn("plain", marked(F.col("text"))).select("doc_id", "text_hash", "item_id", "shift", _list(F.col("plain")).alias("raw"), _list(template(F.col("plain"))).alias("words"))
     judged = _compare(found.join(small(items), "item_id"))

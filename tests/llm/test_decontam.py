@@ -60,3 +60,18 @@ def test_odd_texts_and_empty_tables(spark):
     assert find_leaks(df.limit(0), bench(spark, QUESTION)).count() == 0
     assert find_leaks(df, bench(spark, QUESTION).limit(0)).count() == 0
     assert drop_leaks(df, bench(spark, QUESTION)).columns == df.columns
+
+
+def test_edits_at_any_place_and_alignment_are_found(spark):
+    """Copies with as many words changed as the rule allows, spread so that agreeing stretches are as short as they can be."""
+    items, texts = [], []
+    for length in (10, 11, 14, 17, 20, 26, 41):
+        words = [f"{chr(97 + i % 26)}{chr(97 + i // 26)}w{chr(97 + length % 26)}" for i in range(length)]
+        changes = min(length - 7, length - -(-7 * length // 10))
+        at = {(k + 1) * (length + 1) // (changes + 1) - 1 for k in range(changes)}
+        assert len(at) == changes
+        copy = " ".join("other" if i in at else w for i, w in enumerate(words))
+        texts += [(len(items), "lead " * lead + copy + " and a tail") for lead in range(4)]
+        items.append(" ".join(words))
+    got = {(r.doc_id, r.item_id) for r in find_leaks(frame(spark, [t for _, t in texts]), bench(spark, *items)).collect()}
+    assert got == {(i, item) for i, (item, _) in enumerate(texts)}
