@@ -2,11 +2,10 @@
 
 Sets of hashed shingles that are equal collapse to one representative first, so copies cost one narrow row each. Then
 independent trees branch the representatives: a node's path names the next minwise token to branch on (out of a pool that
-every document computes once), and documents with the same token value fall into the same child. Nodes of up to `NODE_MAX`
-documents after three steps are leaves; larger ones branch three steps more, and once more. Leaves are chained into candidate
-groups, and each group is compared exhaustively on full sets: pairs already in one component are skipped, pairs whose minwise
+every document computes once), and documents with the same token value fall into the same child. The nodes after three steps
+are leaves, whatever their size. Leaves are chained into candidate groups, and each group is compared exhaustively on full sets: pairs already in one component are skipped, pairs whose minwise
 agreement rules them out too, all others are confirmed by exact intersection. With the default pool and 16 trees, a pair at
-similarity 0.85 shares a leaf with probability above 0.9999, one at 0.8 above 0.999.
+similarity 0.85 shares a leaf with probability above 0.9999, one at 0.8 above 0.999, however many documents are like them.
 
 Groups beyond `GROUP_MAX` representatives or `GROUP_SHINGLES` shingles are compared leaf by leaf instead, in chunks that each
 hold the leaf's first document, and the confirmed links joined to components; nothing is left out for its size.
@@ -29,8 +28,7 @@ from inkmill.llm.common import saved, sized_for_join, table
 from inkmill.llm.hashing import Rolling, U, Words, mix, sliced, window_starts
 
 SHINGLE, SIMILARITY = 5, 0.8
-POOL, TREES, FIRST_TREES, STEPS = 32, 16, 4, (3, 6, 9)
-NODE_MAX = 64
+POOL, TREES, FIRST_TREES, STEPS = 32, 16, 4, 3
 GROUP_MAX, GROUP_SHINGLES = 20_000, 16 << 20
 #: Minwise agreement below which a pair isn't confirmed; over 64 tokens six standard deviations under the least threshold in use.
 AGREE, TOKENS = 0.5, 64
@@ -77,21 +75,20 @@ class Sets:
 
 
 def paths(minwise: np.ndarray, trees: int = TREES) -> np.ndarray:
-    """Node of each set after each of STEPS in each tree: sets x trees x len(STEPS). The path so far picks the next token."""
-    out = np.zeros((len(minwise), trees, len(STEPS)), U)
+    """Leaf of each set in each tree: sets x trees. The path so far picks the next token."""
+    out = np.zeros((len(minwise), trees), U)
     rows = np.arange(len(minwise))
     for t in range(trees):
         node = np.full(len(minwise), (t + 1) * 0x9E3779B97F4A7C15 & ((1 << 64) - 1), U)
-        for step in range(1, STEPS[-1] + 1):
+        for _ in range(STEPS):
             token = (mix(node) % U(minwise.shape[1])).astype(np.int64)
             node = mix(node * U(0xD6E8FEB86659FD93) + minwise[rows, token])
-            if step in STEPS:
-                out[:, t, STEPS.index(step)] = node
+        out[:, t] = node
     return out
 
 
 def signatures(docs: DataFrame, shingle: int = SHINGLE, text: str = "text") -> DataFrame:
-    """doc_id, n (distinct shingles), a 128-bit fingerprint of the set, and the tree nodes."""
+    """doc_id, n (distinct shingles), a 128-bit fingerprint of the set, and its leaf in each tree."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (s for b in batches for s in sliced(b, 1)):
@@ -99,7 +96,7 @@ def signatures(docs: DataFrame, shingle: int = SHINGLE, text: str = "text") -> D
             whole = [np.zeros(batch.num_rows, np.int64) for _ in range(2)]
             for w, salt in zip(whole, (0, 0xA0761D6478BD642F)):
                 w[sets.filled] = sets.total(salt).view(np.int64)
-            nodes = paths(sets.minwise(POOL)).reshape(len(sets.filled), TREES * len(STEPS)).view(np.int64)
+            nodes = paths(sets.minwise(POOL)).view(np.int64)
             sizes = np.zeros(batch.num_rows + 1, np.int64)
             sizes[1 + sets.filled] = nodes.shape[1] if len(nodes) else 0
             lists = pa.ListArray.from_arrays(pa.array(np.cumsum(sizes), pa.int32()), pa.array(nodes.reshape(-1)))
@@ -109,28 +106,17 @@ def signatures(docs: DataFrame, shingle: int = SHINGLE, text: str = "text") -> D
     return rows.mapInArrow(run, "doc_id long, n long, fp1 long, fp2 long, nodes array<long>")
 
 
-def leaf_links(level: DataFrame, node_max: int = NODE_MAX) -> DataFrame:
-    """(a, b): b shares a leaf with the leaf's first member a. `level` has a member b and its node after each of STEPS.
+def leaf_links(leaves: DataFrame) -> DataFrame:
+    """(a, b): b shares a leaf with the leaf's first member a. `leaves` has a member b and its leaf.
 
-    Counts and extremes are aggregated, never a node's members; nodes with one member only, however many rows, go at once.
+    Extremes are aggregated, never a leaf's members; leaves with one member only, however many rows, go at once.
     """
-    depth = len(STEPS)
-    out = None
-    for k in range(depth):
-        key = f"s{k}"
-        sizes = level.groupBy(key).agg(F.count(F.lit(1)).alias("c"), F.min("b").alias("a"), F.max("b").alias("z")).filter("a < z").drop("z")
-        met = level.join(sizes, key)
-        last = k == depth - 1
-        links = (met if last else met.filter(F.col("c") <= node_max)).filter("a < b").select("a", "b")
-        out = links if out is None else out.union(links)
-        level = met.filter(F.col("c") > node_max).select("b", *(f"s{j}" for j in range(k + 1, depth)))
-    return out.distinct()
+    first = leaves.groupBy("leaf").agg(F.min("b").alias("a"), F.max("b").alias("z")).filter("a < z").drop("z")
+    return leaves.join(first, "leaf").filter("a < b").select("a", "b").distinct()
 
 
-def _nodes(reps: DataFrame, member: Column, trees: range) -> DataFrame:
-    depth = len(STEPS)
-    each = F.array(*(F.struct(*(F.get("nodes", F.lit(t * depth + k)).alias(f"s{k}") for k in range(depth))) for t in trees))
-    return reps.select(member.alias("b"), F.explode(each).alias("p")).select("b", *(f"p.s{k}" for k in range(depth)))
+def _leaves(reps: DataFrame, member: Column, trees: range) -> DataFrame:
+    return reps.select(member.alias("b"), F.explode(F.slice("nodes", trees.start + 1, len(trees))).alias("leaf"))
 
 
 def candidate_groups(reps: DataFrame) -> DataFrame:
@@ -139,9 +125,9 @@ def candidate_groups(reps: DataFrame) -> DataFrame:
     The first trees group most copies; the rest run over groups instead of documents, so that a large group of copies meets
     itself no more.
     """
-    first = saved(connected(leaf_links(_nodes(reps, F.col("rep"), range(FIRST_TREES)))).select(F.col("node").alias("rep"), F.col("root").alias("near")))
+    first = saved(connected(leaf_links(_leaves(reps, F.col("rep"), range(FIRST_TREES)))).select(F.col("node").alias("rep"), F.col("root").alias("near")))
     grouped = reps.join(first, "rep", "left").withColumn("near", F.coalesce("near", "rep"))
-    more = connected(leaf_links(_nodes(grouped, F.col("near"), range(FIRST_TREES, TREES))))
+    more = connected(leaf_links(_leaves(grouped, F.col("near"), range(FIRST_TREES, TREES))))
     merged = grouped.select("rep", "near").join(more, F.col("near") == F.col("node"), "left").select("rep", F.coalesce("root", "near").alias("root"))
     roots = merged.filter("rep <> root").select("root").distinct()
     return merged.join(roots, "root").select("rep", "root")

@@ -82,3 +82,15 @@ def test_drop_keeps_one_of_each_group_and_all_columns(spark):
     df = frame(spark, [base, base + " tail", "another text that is quite different from it", base, None, None])
     out = drop_near_duplicates(df)
     assert sorted(r.doc_id for r in out.collect()) == [0, 2, 4, 5] and out.columns == df.columns
+
+
+def test_border_member_of_a_large_core_is_found(spark):
+    """Families of near copies of one text, each with a document just similar enough to be linked with that text."""
+    rng = random.Random(3)
+    texts, families = [], 60
+    for f in range(families):
+        base = [f"f{f}w{i}" for i in range(700)]
+        changed = lambda at, count, i: " ".join([*base[:at], *(f"f{f}n{i}x{k}" for k in range(count)), *base[at + count :]])
+        texts += [changed(0, 0, 0), *(changed(rng.randrange(700), 1, i) for i in range(80)), changed(rng.randrange(20, 600), 54, 100)]
+    kept = {i for i, (_, _, k) in got(components(frame(spark, texts), 3, 0.85)).items() if k}
+    assert kept == {f * 82 for f in range(families)}
