@@ -7,8 +7,8 @@ are leaves, whatever their size. Leaves are chained into candidate groups, and e
 agreement rules them out too, all others are confirmed by exact intersection. With the default pool and 16 trees, a pair at
 similarity 0.85 shares a leaf with probability above 0.9999, one at 0.8 above 0.999, however many documents are like them.
 
-Groups beyond `GROUP_MAX` representatives or `GROUP_SHINGLES` shingles are compared leaf by leaf instead, in chunks that each
-hold the leaf's first document, and the confirmed links joined to components; nothing is left out for its size.
+Groups beyond `GROUP_MAX` representatives or `GROUP_SHINGLES` shingles are compared leaf by leaf instead, large leaves as
+all pairs of their chunks, and the confirmed links joined to components; nothing is left out for its size.
 
 Defined results: a null or blank text has an empty set and is linked with nothing; with fewer words than a shingle the whole
 sequence is the one shingle; rows of one doc_id are one document; a null doc_id has a null component and is kept; an empty
@@ -205,7 +205,7 @@ def components(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMI
     found = members.groupBy("root").applyInArrow(confirm, "rep long, component long")
     giants = marked.filter("NOT small").select("rep")
     if not giants.isEmpty():
-        found = found.union(_giants(reps.join(giants, "rep"), texts, shingle, percent, group_max))
+        found = found.union(_giants(reps.join(giants, "rep"), texts, shingle, percent, group_max, group_shingles))
     found = found.groupBy("rep").agg(F.min("component").alias("component"))
     by_set = reps.select("fp1", "fp2", "n", "rep").join(found, "rep", "left").select("fp1", "fp2", "n", F.coalesce("component", "rep").alias("component"))
     out = sigs.select("doc_id", "n", "fp1", "fp2").join(by_set, ["fp1", "fp2", "n"], "left")
@@ -213,22 +213,25 @@ def components(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMI
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
-def _giants(reps: DataFrame, texts: DataFrame, shingle: int, percent: int, chunk: int) -> DataFrame:
-    """Components of groups too large for one task: leaf by leaf in chunks that share the leaf's first document."""
-    nodes = reps.select("rep", F.posexplode("nodes").alias("at", "node"))
-    sizes = nodes.groupBy("at", "node").agg(F.count(F.lit(1)).alias("c"), F.min("rep").alias("lead")).filter("c > 1")
-    met = nodes.join(sizes, ["at", "node"])
-    parts = F.ceil(F.col("c") / F.lit(max(2, chunk // 4))).cast("int")
-    members = met.select("at", "node", F.pmod(F.xxhash64("rep", "at"), parts).cast("int").alias("chunk"), "rep")
-    leads = met.filter("rep = lead").select("at", "node", F.explode(F.sequence(F.lit(0), parts - 1)).alias("chunk"), "rep")
-    dealt = members.union(leads).distinct().join(texts, "rep")
+def _giants(reps: DataFrame, texts: DataFrame, shingle: int, percent: int, chunk: int, shingles: int) -> DataFrame:
+    """Components of groups too large for one task: leaf by leaf, and a large leaf in chunks, each pair of them a block.
+
+    Every pair of a leaf meets in a block, so the work on a leaf grows with the square of its chunks.
+    """
+    leaves = reps.select("rep", "n", F.posexplode("nodes").alias("at", "node"))
+    sizes = leaves.groupBy("at", "node").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("s")).filter("c > 1")
+    parts = F.greatest(F.ceil(F.col("c") / F.lit(max(2, chunk // 4))), F.ceil(F.col("s") / F.lit(max(2, shingles // 4)))).cast("int")
+    met = leaves.join(sizes, ["at", "node"]).select("at", "node", "rep", parts.alias("parts"), F.pmod(F.xxhash64("rep", "at"), parts).cast("int").alias("mine"))
+    others = F.filter(F.sequence(F.lit(0), F.col("parts") - 1), lambda x: (x != F.col("mine")) | (F.col("parts") == 1))
+    blocks = met.select("at", "node", "rep", "mine", F.explode(others).alias("other"))
+    dealt = blocks.select("at", "node", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "rep").join(texts, "rep")
 
     def confirm(rows: pa.Table) -> pa.Table:
         rows = rows.combine_chunks()
         _, links = _confirm(rows.column("rep").to_numpy(), rows.column("text").chunk(0), shingle, percent)
         return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
 
-    links = dealt.groupBy("at", "node", "chunk").applyInArrow(confirm, "a long, b long").filter("a < b")
+    links = dealt.groupBy("at", "node", "low", "high").applyInArrow(confirm, "a long, b long").filter("a < b")
     return connected(links).select(F.col("node").alias("rep"), F.col("root").alias("component"))
 
 

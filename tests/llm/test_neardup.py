@@ -94,3 +94,11 @@ def test_border_member_of_a_large_core_is_found(spark):
         texts += [changed(0, 0, 0), *(changed(rng.randrange(700), 1, i) for i in range(80)), changed(rng.randrange(20, 600), 54, 100)]
     kept = {i for i, (_, _, k) in got(components(frame(spark, texts), 3, 0.85)).items() if k}
     assert kept == {f * 82 for f in range(families)}
+
+
+def test_every_pair_of_a_large_leaf_is_compared(spark):
+    """Variants of one template, similar in pairs only; what a pair shares, most others share, so all its leaves are large."""
+    texts = []
+    for i, at in enumerate(a + d for a in range(0, 365, 13) for d in (0, 4)):
+        texts.append(" ".join("d%dx%d" % (i, k) if at <= k < at + 22 else f"w{k}" for k in range(400)))
+    assert got(components(frame(spark, texts), 3, 0.85, group_max=8)) == brute(dict(enumerate(texts)))
