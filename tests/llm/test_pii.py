@@ -74,3 +74,13 @@ def test_redaction_masks_and_keeps_columns(spark):
     assert out[0].text == "write [EMAIL] or [PHONE]." and out[0].n_chars == len(out[0].text)
     assert out[1].text == "clean" and out[2].text is None
     assert masked("abcdef", [("ip", 1, 4, 1.0), ("card", 2, 5, 1.0)]) == "a[IP]f"
+
+
+def test_adjacent_ibans_and_all_countries():
+    from inkmill.llm.pii import spans_of
+
+    for text in ("DE89370400440532013000 GB82WEST12345698765432", "DE00370400440532013000 GB82WEST12345698765432", "AB12 GB82WEST12345698765432"):
+        found = [text[a:b] for kind, a, b, _ in spans_of(text) if kind == "iban"]
+        assert found[-1] == "GB82WEST12345698765432" and len(found) == text.count("DE89") + 1
+    for iban in ("RO49AAAA1B31007593840000", "HU42117730161111101800000000", "GR1601101250000000012300695", "TR330006100519786457841326"):
+        assert [iban] == [iban[a:b] for kind, a, b, _ in spans_of(iban) if kind == "iban"]
