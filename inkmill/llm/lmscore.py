@@ -1,215 +1,234 @@
 """Language-model scoring by cross-entropy difference.
 
-A target and a background bigram model count lower-cased words, the words' contexts and word pairs, each known by a 62-bit
-hash. Both are counted over all documents, and matched in size, the background's counts scaled to the target's total, so that
+A target and a background bigram model count lower-cased words and word pairs, each known by a hash whose width grows with the
+corpus. Both are counted over all documents, and matched in size, the background's counts scaled to the target's total, so that
 smoothing weighs alike in both. A document's score is its mean loss per token under the background model less that under the
 target model: the higher, the more it resembles the target.
 
-The counts grow with the corpus and stay distributed: each task sums its own, sends them in compressed blobs to ranges of keys,
-and the ranges add them up. To score, each part of the documents asks every range for the counts of its own distinct keys.
-Ranges are made by bytes of text, so one range's keys fit a task; only three totals reach the driver.
+A document is never scored by counts of its own: they are taken off both models first (leaving one out), so a document of the
+target has no advantage over one that was never seen, and copies elsewhere in the corpus still count.
+
+The counts grow with the corpus and stay distributed: documents are dealt to parts, a part sends its distinct keys and their
+counts in one compressed blob to each range of the key space, and a range answers each part with the whole corpus's counts of
+the part's keys. Keys that occur once in all are not answered, as nothing is left of them without their document. Parts and
+ranges grow with the bytes of text up to `MOST`, beyond that their sizes do; a part is worked on in slices. Nothing but the
+size of the text reaches the driver.
 
 Defined results: a null or blank text has no tokens, null losses and score 0; a document is target if any of its labels says so;
-rows with a null doc_id count as background; repeated rows are counted and scored each; without any target document all
-scores are those of a smoothed uniform target; an empty table gives an empty result; other columns are ignored.
+rows with a null doc_id count as background; repeated rows are documents of their own, each counted and scored; without any
+target document all scores are those of a smoothed uniform target; a very long text is one document like any other; an empty
+table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
-import functools
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkmill.llm.common import measure, saved, split_count, table
+from inkmill.llm.common import measure, split_count, table
 from inkmill.llm.hashing import U, Words, bucket_bounds, group_starts, mix, sliced, squeeze, squeeze_sorted, unsqueeze, unsqueeze_sorted
 
 #: Words that smoothing allows for are 2**WORD_BITS, or the distinct words of the corpus where these are more.
 WORD_BITS = 18
 #: Weight of the pair estimate against the word estimate, and what is added to each word's count.
 PAIR_WEIGHT, ADD = 0.6, 0.1
-#: Bytes of text whose keys are asked for in one go, whose counts a task holds before it sends them, and per range of keys.
-PART, HELD, RANGE = 8 << 20, 32 << 20, 32 << 20
+#: Bytes of text in a part and per range of keys, and the most of either.
+PART, RANGE, MOST = 8 << 20, 32 << 20, 1 << 16
+#: Bytes of text that a part is worked on at a time.
+SLICE = 4 << 20
+#: Bits of a key beyond those that number the corpus's tokens: two keys are taken for one with a chance of 2**-SPARE.
+SPARE = 24
 _START = 0x2545F4914F6CDD1D
-WORD, CONTEXT, PAIR = range(3)
-
-
-def tokens(texts: pa.Array) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Of every word: its text, and the keys of itself, its context and its pair. The first word's context is the text's start.
-
-    The lowest two bits of a key tell its kind.
-    """
-    words = Words(texts)
-    data = np.where((words.data >= 65) & (words.data <= 90), words.data + 32, words.data).astype(np.uint8)
-    word = words.hashes(data)
-    before = np.concatenate((np.zeros(1, U), word[:-1])) if len(word) else word
-    before[words.first[words.count > 0]] = U(_START)
-    keyed = lambda h, kind: (mix(h) & ~U(3)) | U(kind)
-    return words.text, [keyed(word, WORD), keyed(before, CONTEXT), keyed(before * U(0x9E3779B97F4A7C15) + word, PAIR)]
-
-
-def _summed(keys: list[np.ndarray], counts: list[list[np.ndarray]]) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Distinct keys in order, and their counts of both kinds."""
-    key = np.concatenate(keys) if keys else np.zeros(0, U)
-    order = np.argsort(key, kind="stable")
-    key = key[order]
-    at = group_starts(key)
-    return key[at], [np.add.reduceat(np.concatenate(c)[order], at) if len(at) else np.zeros(0, U) for c in counts]
-
-
-def _count(batches: Iterator[pa.RecordBatch], ranges: int) -> Iterator[pa.RecordBatch]:
-    keys, every, aimed, held = [], [], [], 0
-    for batch in (s for b in batches for s in sliced(b, 0)):
-        text, kinds = tokens(batch.column(0))
-        goal = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)[text]
-        for kind in kinds:
-            key, which = np.unique(kind, return_inverse=True)
-            keys.append(key)
-            every.append(np.bincount(which, minlength=len(key)).astype(U))
-            aimed.append(np.bincount(which[goal], minlength=len(key)).astype(U))
-        held += batch.column(0).nbytes
-        if held >= HELD:
-            yield _sent(*_summed(keys, [every, aimed]), ranges)
-            keys, every, aimed, held = [], [], [], 0
-    yield _sent(*_summed(keys, [every, aimed]), ranges)
-
-
-def _sent(keys: np.ndarray, counts: list[np.ndarray], ranges: int) -> pa.RecordBatch:
-    at = bucket_bounds(keys, ranges)
-    full = np.flatnonzero(at[1:] > at[:-1])
-    blobs = [pa.array([squeeze(c[at[i] : at[i + 1]]) for i in full], pa.binary()) for c in counts]
-    return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array([squeeze_sorted(keys[at[i] : at[i + 1]]) for i in full], pa.binary()), *blobs], ["range", "keys", "every", "aimed"])
-
-
-def _add(rows: pa.Table) -> pa.Table:
-    """The counts of one range, and what it has of words: how many distinct ones, how many in all and in the target."""
-    read = lambda name, how: [how(x.as_py()) for x in rows.column(name)]
-    keys, (every, aimed) = _summed(read("keys", unsqueeze_sorted), [read("every", unsqueeze), read("aimed", unsqueeze)])
-    word = (keys & U(3)) == U(WORD)
-    sums = [[int(word.sum())], [int(every[word].sum())], [int(aimed[word].sum())]]
-    blobs = [[squeeze_sorted(keys)], [squeeze(every)], [squeeze(aimed)]]
-    return pa.table([rows.column("range").slice(0, 1), *(pa.array(b, pa.binary()) for b in blobs), *(pa.array(n, pa.int64()) for n in sums)], ["range", "keys", "every", "aimed", "n_words", "all_words", "aimed_words"])
-
-
-@dataclass(frozen=True)
-class Totals:
-    """What both models share beside the counts."""
-
-    n_words: int
-    all_words: int
-    aimed_words: int
-
-    def loss(self, goal: int, word: np.ndarray, context: np.ndarray, pair: np.ndarray) -> np.ndarray:
-        """Of tokens with these counts under the background (0) or the target model (1)."""
-        whole = self.aimed_words if goal else self.all_words
-        k = self.aimed_words / self.all_words if not goal and self.aimed_words and self.all_words else 1.0
-        alone = (word * k + ADD) / (whole * k + ADD * max(1 << WORD_BITS, self.n_words))
-        both = np.divide(pair, context, out=np.zeros(len(word)), where=context > 0)
-        return -np.log(np.where(context > 0, PAIR_WEIGHT * both + (1 - PAIR_WEIGHT) * alone, alone))
+#: Kind of a key, in its two lowest bits. The start of a text is the context of its first word.
+WORD, START, PAIR = range(3)
 
 
 @dataclass(frozen=True)
-class Models:
-    """Counts by ranges of keys, as a table, and their totals."""
+class Plan:
+    """Sizes that all passes share."""
 
-    counts: DataFrame
+    parts: int
     ranges: int
-    totals: Totals
-
-
-def train(docs: DataFrame, text: str = "text", target: str = "target", ranges: int | None = None) -> Models:
-    """Both models from all rows; `target` says which belong to the target. `ranges` are as the bytes of text ask for, if not given."""
-    rows = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text"), F.coalesce(F.col(target), F.lit(False)).alias("target"))
-    ranges = ranges or split_count(measure(rows)[1], RANGE)
-    sent = rows.mapInArrow(functools.partial(_count, ranges=ranges), "range int, keys binary, every binary, aimed binary")
-    counts = saved(sent.groupBy("range").applyInArrow(_add, "range int, keys binary, every binary, aimed binary, n_words long, all_words long, aimed_words long"))
-    sums = counts.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_words", "all_words", "aimed_words"))).first()
-    return Models(counts.select("range", "keys", "every", "aimed"), ranges, Totals(*(int(n) for n in sums)))
-
-
-def _asked(batches: Iterator[pa.RecordBatch], ranges: int) -> Iterator[pa.RecordBatch]:
-    """Each part's distinct keys by range, and one row with the part's documents, compressed."""
-    task = TaskContext.get().partitionId()
-    for number, batch in enumerate(s for b in batches for s in sliced(b, 1, PART)):
-        _, kinds = tokens(batch.column(1))
-        keys = _distinct(kinds)
-        at = bucket_bounds(keys, ranges)
-        full = np.flatnonzero(at[1:] > at[:-1]).tolist()
-        sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-            out.write_batch(batch)
-        blobs = [squeeze_sorted(keys[at[i] : at[i + 1]]) for i in full]
-        part = (task << 32) + number
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([*full, (task + number) % ranges], pa.int32()), pa.array([part] * (len(full) + 1), pa.int64()), pa.array([*blobs, None], pa.binary()), pa.array([None] * len(full) + [sink.getvalue().to_pybytes()], pa.binary())],
-            ["range", "part", "asked", "docs"],
-        )
-
-
-def _distinct(kinds: list[np.ndarray]) -> np.ndarray:
-    return np.sort(np.concatenate([np.unique(k) for k in kinds]))
-
-
-def _answered(rows: pa.Table, model: pa.Table) -> pa.Table:
-    """The counts of the keys asked for, in their order; 0 for keys that the model lacks. Documents pass."""
-    keys, counts = np.zeros(0, U), [np.zeros(0, U), np.zeros(0, U)]
-    if model.num_rows:
-        keys, counts = unsqueeze_sorted(model.column("keys")[0].as_py()), [unsqueeze(model.column(c)[0].as_py()) for c in ("every", "aimed")]
-    found = []
-    for blob in rows.column("asked"):
-        if not blob.is_valid:
-            found.append((None, None))
-            continue
-        asked = unsqueeze_sorted(blob.as_py())
-        if not len(keys):
-            found.append((squeeze(np.zeros(len(asked), U)),) * 2)
-            continue
-        at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
-        found.append(tuple(squeeze(np.where(keys[at] == asked, c[at], U(0))) for c in counts))
-    return pa.table([rows.column("part"), rows.column("range"), *(pa.array([f[g] for f in found], pa.binary()) for g in (0, 1)), rows.column("docs")], ["part", "range", "every", "aimed", "docs"])
-
-
-def _scored(rows: pa.Table, totals: Totals) -> pa.Table:
-    """The documents of one part with their losses, from the counts of its keys."""
-    held = [x.as_py() for x in rows.column("docs") if x.is_valid][0]
-    batch = pa.ipc.open_stream(held).read_next_batch()
-    rows = rows.filter(rows.column("every").is_valid()).sort_by("range")
-    owner, kinds = tokens(batch.column(1))
-    keys = _distinct(kinds)
-    counts = [np.concatenate([np.zeros(0, U), *(unsqueeze(x.as_py()) for x in rows.column(c))]).astype(np.float64) for c in ("every", "aimed")]
-    at = [np.searchsorted(keys, k) for k in kinds]
-    n = np.bincount(owner, minlength=batch.num_rows)
-    means = [np.bincount(owner, totals.loss(goal, *(counts[goal][i] for i in at)), batch.num_rows) / np.maximum(n, 1) for goal in (1, 0)]
-    losses = [pa.array(m, mask=n == 0) for m in means]
-    return pa.table([batch.column(0), pa.array(n, pa.int64()), *losses, pa.array(means[1] - means[0])], ["doc_id", "n_tokens", "loss_target", "loss_background", "score"])
-
-
-def score(docs: DataFrame, models: Models, text: str = "text") -> DataFrame:
-    """doc_id, n_tokens, loss_target, loss_background and score for every row."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    asked = rows.mapInArrow(functools.partial(_asked, ranges=models.ranges), "range int, part long, asked binary, docs binary")
-    answered = asked.groupBy("range").cogroup(models.counts.groupBy("range")).applyInArrow(_answered, "part long, range int, every binary, aimed binary, docs binary")
-    totals = models.totals
-
-    def scored(rows: pa.Table) -> pa.Table:
-        return _scored(rows, totals)
-
-    return answered.groupBy("part").applyInArrow(scored, "doc_id long, n_tokens long, loss_target double, loss_background double, score double")
-
-
-def labelled(docs: DataFrame, labels: DataFrame, text: str = "text") -> DataFrame:
-    """text and target: documents with a quality label of 1 are the target."""
-    good = labels.filter("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("good_id")).distinct()
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return rows.join(good.hint("merge"), F.col("doc_id") == F.col("good_id"), "left").select("text", F.col("good_id").isNotNull().alias("target"))
+    bits: int
+
+    @classmethod
+    def of(cls, n_bytes: int, part: int, span: int) -> Plan:
+        tokens = n_bytes // 2 + 1
+        return cls(split_count(n_bytes, part, most=MOST), split_count(n_bytes, span, most=MOST), min(64, tokens.bit_length() + SPARE))
+
+
+class Tokens:
+    """Of every word of a slice: its text, and the keys of itself, its context and its pair."""
+
+    def __init__(self, texts: pa.Array, bits: int) -> None:
+        words = Words(texts)
+        data = np.where((words.data >= 65) & (words.data <= 90), words.data + 32, words.data).astype(np.uint8)
+        word = words.hashes(data)
+        keyed = lambda h, kind: (mix(h) >> U(64 - bits) & ~U(3)) | U(kind)
+        self.owner, self.count = words.text, words.count
+        self.first = words.first[words.count > 0]
+        before = np.concatenate((np.zeros(1, U), word[:-1])) if len(word) else word
+        before[self.first] = U(_START)
+        self.word, self.pair = keyed(word, WORD), keyed(before * U(0x9E3779B97F4A7C15) + word, PAIR)
+        self.context = np.concatenate((np.zeros(1, U), self.word[:-1])) if len(word) else word
+        self.start = keyed(np.full(1, _START, U), START)
+        self.context[self.first] = self.start
+
+    def keys(self, chosen: np.ndarray | None = None) -> np.ndarray:
+        """All keys in order, also of the chosen texts only."""
+        take = slice(None) if chosen is None else chosen[self.owner]
+        starts = len(self.first) if chosen is None else int(chosen[self.owner[self.first]].sum())
+        return np.sort(np.concatenate((self.word[take], self.pair[take], np.repeat(self.start, starts))))
+
+    def own(self, keys: np.ndarray) -> np.ndarray:
+        """How often each word's key occurs in its own text."""
+        _, which, times = np.unique(mix(keys + self.owner.astype(U) * U(0xD6E8FEB86659FD93)), return_inverse=True, return_counts=True)
+        return times[which]
+
+
+def _summed(keys: np.ndarray, counts: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Distinct keys in order, and the sums of their counts."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    at = group_starts(keys)
+    return keys[at], [np.add.reduceat(c[order], at) if len(at) else np.zeros(0, U) for c in counts]
+
+
+def _counted(sorted_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    at = group_starts(sorted_keys)
+    return sorted_keys[at], np.diff(np.append(at, len(sorted_keys))).astype(U)
+
+
+class _Part:
+    """Documents of one part, and which of them are target: rows without a text name the target's ids."""
+
+    def __init__(self, rows: pa.Table, plan: Plan) -> None:
+        self.plan = plan
+        named = rows.filter(rows.column("text").is_null()).column("doc_id").to_numpy()
+        docs = rows.select(["doc_id", "text"]).filter(rows.column("text").is_valid()).combine_chunks()
+        self.batches = [s for b in docs.to_batches() for s in sliced(b, 1, SLICE)]
+        self.named = named
+
+    def slices(self):
+        """doc_id, whether target, and tokens of each slice."""
+        for batch in self.batches:
+            ids = batch.column(0)
+            aimed = np.isin(ids.fill_null(-1).to_numpy(zero_copy_only=False), self.named) & ids.is_valid().to_numpy(zero_copy_only=False)
+            yield ids, aimed, Tokens(batch.column(1), self.plan.bits)
+
+
+_SENT = "range int, part int, keys binary, every binary, aimed binary, n_every long, n_aimed long"
+
+
+def _send(rows: pa.Table, plan: Plan) -> pa.Table:
+    """A blob of keys and counts for each range, with the words of the whole part, so that every range learns the totals."""
+    part = rows.column("part")[0].as_py()
+    keys, every, aimed, n = [np.zeros(0, U)], [np.zeros(0, U)], [np.zeros(0, U)], [0, 0]
+    for _, goal, tokens in _Part(rows, plan).slices():
+        key, times = _counted(tokens.keys())
+        of_goal = np.zeros(len(key), U)
+        if goal.any():
+            some, some_times = _counted(tokens.keys(goal))
+            of_goal[np.searchsorted(key, some)] = some_times
+        for total, new in zip((keys, every, aimed), (key, times, of_goal)):
+            total.append(new)
+        n = [n[0] + int(tokens.count.sum()), n[1] + int(tokens.count[goal].sum())]
+    key, counts = _summed(np.concatenate(keys), [np.concatenate(every), np.concatenate(aimed)])
+    at = bucket_bounds(key << U(64 - plan.bits), plan.ranges)
+    cut = lambda values, how: pa.array([how(values[x:y]) for x, y in zip(at[:-1].tolist(), at[1:].tolist())], pa.binary())
+    size = plan.ranges
+    return pa.table(
+        [pa.array(np.arange(size), pa.int32()), pa.array([part] * size, pa.int32()), cut(key, squeeze_sorted), *(cut(c, squeeze) for c in counts), *(pa.array([x] * size, pa.int64()) for x in n)],
+        ["range", "part", "keys", "every", "aimed", "n_every", "n_aimed"],
+    )
+
+
+_ANSWER = "part int, range int, keys binary, every binary, aimed binary, n_words long, n_every long, n_aimed long"
+
+
+def _answer(rows: pa.Table) -> pa.Table:
+    """To each part: the corpus's counts of those of its keys that occur more than once, the range's distinct words, and all totals."""
+    read = lambda name, how: [how(x.as_py()) for x in rows.column(name)]
+    asked = read("keys", unsqueeze_sorted)
+    key, (every, aimed) = _summed(np.concatenate(asked), [np.concatenate(read(c, unsqueeze)) for c in ("every", "aimed")])
+    n_words = int(((key & U(3)) == U(WORD)).sum())
+    more = every > 1
+    key, every, aimed = key[more], every[more], aimed[more]
+    blobs: tuple[list, list, list] = [], [], []
+    for mine in asked:
+        at = np.minimum(np.searchsorted(key, mine), max(0, len(key) - 1))
+        at = at[key[at] == mine] if len(key) else at[:0]
+        for out, blob in zip(blobs, (squeeze_sorted(key[at]), squeeze(every[at]), squeeze(aimed[at]))):
+            out.append(blob)
+    totals = [sum(rows.column(c).to_pylist()) for c in ("n_every", "n_aimed")]
+    size = rows.num_rows
+    return pa.table(
+        [rows.column("part"), rows.column("range"), *(pa.array(b, pa.binary()) for b in blobs), *(pa.array([x] * size, pa.int64()) for x in (n_words, *totals))],
+        ["part", "range", "keys", "every", "aimed", "n_words", "n_every", "n_aimed"],
+    )
+
+
+def _losses(word: np.ndarray, context: np.ndarray, pair: np.ndarray, whole: np.ndarray, scale: float, vocabulary: int) -> np.ndarray:
+    """Of tokens with these counts, under a model of `whole` words whose counts are scaled."""
+    alone = (word * scale + ADD) / (whole * scale + ADD * vocabulary)
+    both = np.divide(pair, context, out=np.zeros(len(word)), where=context > 0)
+    return -np.log(np.where(context > 0, PAIR_WEIGHT * both + (1 - PAIR_WEIGHT) * alone, alone))
+
+
+_SCORED = "doc_id long, n_tokens long, loss_target double, loss_background double, score double"
+
+
+def _score(rows: pa.Table, answers: pa.Table, plan: Plan) -> pa.Table:
+    answers = answers.sort_by("range")
+    read = lambda name, how: np.concatenate([np.zeros(0, U), *(how(x.as_py()) for x in answers.column(name))])
+    key = read("keys", unsqueeze_sorted)
+    counts = [np.append(read(c, unsqueeze), U(0)).astype(np.float64) for c in ("every", "aimed")]
+    vocabulary = max(1 << WORD_BITS, sum(answers.column("n_words").to_pylist()))
+    n_every, n_aimed = (answers.column(c)[0].as_py() if answers.num_rows else 0 for c in ("n_every", "n_aimed"))
+    scales = (n_aimed / n_every if n_aimed and n_every else 1.0, 1.0)
+    out = [pa.table({"doc_id": pa.array([], pa.int64()), "n_tokens": pa.array([], pa.int64()), **{c: pa.array([], pa.float64()) for c in ("loss_target", "loss_background", "score")}})]
+    for ids, goal, tokens in _Part(rows, plan).slices():
+        n = tokens.count
+        mine = [tokens.own(tokens.word), None, tokens.own(tokens.pair)]
+        mine[1] = np.concatenate((np.ones(1, np.int64), mine[0][:-1])) if len(tokens.word) else mine[0]
+        mine[1][tokens.first] = 1
+        means = []
+        for model, total in ((1, n_aimed), (0, n_every)):
+            took = goal[tokens.owner] if model else np.ones(len(tokens.word), bool)  # the model has counted this text
+            left = []
+            for k, own in zip((tokens.word, tokens.context, tokens.pair), mine):
+                at = np.searchsorted(key, k)
+                at = np.where(key[np.minimum(at, len(key) - 1)] == k, at, len(key)) if len(key) else np.zeros(len(k), np.int64)
+                left.append(np.maximum(0.0, counts[model][at] - np.where(took, own, 0)))
+            whole = total - np.where(took, n[tokens.owner], 0)
+            means.append(np.bincount(tokens.owner, _losses(*left, whole, scales[model], vocabulary), len(n)) / np.maximum(n, 1))
+        losses = [pa.array(m, mask=n == 0) for m in means]
+        out.append(pa.table([ids.cast(pa.int64()), pa.array(n, pa.int64()), *losses, pa.array(means[1] - means[0])], ["doc_id", "n_tokens", "loss_target", "loss_background", "score"]))
+    return pa.concat_tables(out).combine_chunks()
+
+
+def score(docs: DataFrame, target: DataFrame, text: str = "text", part_bytes: int = PART, range_bytes: int = RANGE) -> DataFrame:
+    """doc_id, n_tokens, loss_target, loss_background and score for every row; `target` has the doc_id of the target documents."""
+    plan = Plan.of(measure(docs, text)[1], part_bytes, range_bytes)
+    part = lambda key: F.pmod(F.xxhash64(key), F.lit(plan.parts)).cast("int").alias("part")
+    doc: Column = F.col("doc_id").cast("long")
+    body = F.coalesce(F.col(text), F.lit(""))
+    rows = docs.select(doc.alias("doc_id"), body.alias("text"), part(F.coalesce(doc, F.xxhash64(body))))
+    named = target.filter("doc_id IS NOT NULL").select(doc.alias("doc_id")).distinct().select("doc_id", F.lit(None).cast("string").alias("text"), part(F.col("doc_id")))
+    parts = rows.union(named).repartition(plan.parts, "part")
+    sent = parts.groupBy("part").applyInArrow(lambda t: _send(t, plan), _SENT)
+    answers = sent.repartition(plan.ranges, "range").groupBy("range").applyInArrow(_answer, _ANSWER)
+    return parts.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(lambda t, a: _score(t, a, plan), _SCORED)
+
+
+def good_documents(labels: DataFrame) -> DataFrame:
+    """doc_id of the documents with a quality label of 1."""
+    return labels.filter("quality = 1").select("doc_id")
 
 
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    ranges = split_count(measure(docs)[1], RANGE)
-    return score(docs, train(labelled(docs, table(spark, sf_dir, "labels")), ranges=ranges))
+    return score(table(spark, sf_dir, "documents"), good_documents(table(spark, sf_dir, "labels")))

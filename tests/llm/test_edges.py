@@ -37,7 +37,7 @@ def test_operators_that_report(docs, bench, spark):
     assert ids(langid.identify(docs, langid.learn(docs))) == ALL
     assert ids(pii.find_pii(docs)) == ALL
     labels = spark.createDataFrame([(1, 1), (1, 1), (1, 0), (None, 1)], "doc_id long, quality int")
-    assert ids(lmscore.score(docs, lmscore.train(lmscore.labelled(docs, labels)))) == ALL
+    assert ids(lmscore.score(docs, lmscore.good_documents(labels))) == ALL
     assert ids(substrings.remove_repeats(docs)) == ALL
     assert ids(quality.assess(docs)) == ALL
     import public_tokenizers
