@@ -19,5 +19,14 @@ def by_position(df: DataFrame) -> DataFrame:
 
 def reasoning_rows(rows: DataFrame, backend: Callable[[], object], workers: int = 1, keep: tuple[str, ...] = ()) -> DataFrame:
     """expected_answer, problem, generated_solution of the rows whose generation succeeds; `keep` names columns to carry along."""
+    return traced(ask_reasoning(rows, backend, workers, keep), keep)
+
+
+def ask_reasoning(rows: DataFrame, backend: Callable[[], object], workers: int = 1, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Every row with its generated_solution, error and seconds."""
     done = generate(rows.select(*keep, "instruction", "answer", "source"), backend, "reasoning", ["instruction", "answer", "source"], "generated_solution", "string", workers)
-    return done.filter("generated_solution_error IS NULL").select(*keep, F.col("answer").alias("expected_answer"), F.col("instruction").alias("problem"), "generated_solution")
+    return done.withColumnsRenamed({"generated_solution_error": "error", "generated_solution_seconds": "seconds"})
+
+
+def traced(asked: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    return asked.filter("error IS NULL").select(*keep, F.col("answer").alias("expected_answer"), F.col("instruction").alias("problem"), "generated_solution")

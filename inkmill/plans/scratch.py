@@ -10,10 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, or a private folder where the session names none (local runs, tests)."""
+    """spark.checkpoint.dir; where a local session names none, a private folder. Any other session has to name one."""
     known = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if known:
         return known.rstrip("/")
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     own = getattr(spark.sparkContext, "_inkmill_scratch", None)
     if own is None:
         own = spark.sparkContext._inkmill_scratch = tempfile.mkdtemp(prefix="inkmill-")
@@ -34,4 +36,13 @@ def saved(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(spark)}/inkmill-{uuid.uuid4().hex}"
     df.write.parquet(path)
     atexit.register(_delete, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._inkmill_path = path
+    return out
+
+
+def dropped(*frames: DataFrame) -> None:
+    """Delete saved tables that nothing reads any more."""
+    for df in frames:
+        if path := getattr(df, "_inkmill_path", None):
+            _delete(df.sparkSession, path)

@@ -4,13 +4,18 @@ from __future__ import annotations
 
 import csv
 import json
+import logging
+import threading
+from http.server import BaseHTTPRequestHandler, HTTPServer
 
 import pandas as pd
+import pytest
 import yaml
 
 from inkmill import cli
 from inkmill.operators.chunks import chunk_by_header
-from inkmill.operators.generate import StubGenerator
+from inkmill.operators.chat import ChatGenerator
+from inkmill.operators.generate import GenerationError, StubGenerator
 from inkmill.plans import jobs
 from inkmill.sources import files, sinks
 from inkmill.streaming import ingest
@@ -109,3 +114,116 @@ def test_stream_of_files(spark, tmp_path):
     put(tmp_path / "in", b_dot_md=f"# C\n{body}")
     ingest.run(ingest.markdown_stream(spark, root), lambda d: chunk_by_header(d, min_chars=50), str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination(60)
     assert sorted(r.header for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["A", "B", "C"]
+
+
+class Counted(StubGenerator):
+    """Notes every call in a folder that all workers share."""
+
+    folder = ""
+
+    def __init__(self, folder):
+        self.folder = folder
+
+    def questions(self, text, count=3):
+        with open(f"{self.folder}/questions", "a") as f:
+            f.write("x")
+        return super().questions(text + "x" * (len(text) % 11 == 0), count)
+
+    def variants(self, question, count=2):
+        with open(f"{self.folder}/variants", "a") as f:
+            f.write("x")
+        return super().variants(question, count)
+
+
+def test_rag_calls_once_a_chunk_and_once_a_question(spark, tmp_path):
+    body = "".join(f"# part {i}\n{'w' * 60}\n" for i in range(40))
+    root = put(tmp_path / "in", a_dot_md=body)
+    folder = str(tmp_path)
+    jobs.rag_questions(spark, root, str(tmp_path / "out"), lambda: Counted(folder), num_questions=3).count()
+    assert (tmp_path / "questions").stat().st_size == 40 and (tmp_path / "variants").stat().st_size == 120
+
+
+def test_relative_paths_and_odd_names(spark, tmp_path, monkeypatch):
+    import os
+
+    put(tmp_path / "in", a_dot_md=f"{L}")
+    (tmp_path / "in/b c+d%41.md").write_text(L)
+    monkeypatch.chdir(tmp_path)
+    relative = os.path.relpath(tmp_path, spark.sparkContext._jvm.java.lang.System.getProperty("user.dir"))
+    jobs.create(spark, f"{relative}/in", f"{relative}/out", StubGenerator)
+    assert sorted(p.name for p in (tmp_path / "out").iterdir() if not p.name.startswith(".")) == ["a.yaml", "b c+d%41.yaml"]
+
+
+def test_an_output_that_cannot_be_made_fails_before_any_call(spark, tmp_path):
+    root = put(tmp_path / "in", a_dot_md="# a\n" + "w" * 60)
+    (tmp_path / "file").write_text("x")
+    with pytest.raises(Exception):
+        jobs.rag_questions(spark, root, str(tmp_path / "file/out"), lambda: Counted(str(tmp_path)))
+    assert not (tmp_path / "questions").exists()
+
+
+def test_many_csv_files_are_one_read_for_each_header(spark, tmp_path):
+    for i in range(30):
+        (tmp_path / f"f{i:02}.csv").write_text(f"i,a\n{i},x\n" if i % 2 else f"a,i,z\ny,{i},z\n")
+    (tmp_path / "broken.csv").write_bytes(b'i,a\n5,"never closed\n')
+    frames = files.read_csv_files(spark, str(tmp_path))
+    assert len(frames) == 2 and all(f.inputFiles().__len__() >= 15 for f in frames)
+    merged = jobs.merge_csv(spark, str(tmp_path), str(tmp_path / "out"), single=False)
+    rows = [r.i for r in spark.read.csv(str(tmp_path / "out/merged.csv"), header=True, multiLine=True, escape='"').collect()]
+    assert merged.columns == ["i", "a", "z"] and rows[0] == "5" and rows[1:] == [str(i) for i in range(30)]
+    assert files._columns("a,,a,b") == ["a", "_c1", "a.1", "b"]
+
+
+def test_jobs_report_files_rows_and_times(spark, tmp_path, caplog):
+    root = put(tmp_path / "in", a_dot_md=f"{L}", b_dot_md=f"{L}y\n\n{L}zz")
+    with caplog.at_level(logging.INFO, "inkmill"):
+        jobs.create(spark, root, str(tmp_path / "out"), StubGenerator)
+    said = [r.getMessage() for r in caplog.records]
+    assert any("2 files in" in s for s in said) and any("b.md: 2 rows" in s for s in said) and any("3 rows" in s and "done in" in s for s in said)
+
+
+class Endpoint(BaseHTTPRequestHandler):
+    asked: list = []
+    busy = 0
+
+    def do_POST(self):
+        body = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+        type(self).asked.append(body)
+        if type(self).busy:
+            type(self).busy -= 1
+            self.send_response(503)
+            self.end_headers()
+            return
+        schema = body.get("format") or body.get("response_format", {}).get("json_schema", {}).get("schema")
+        name = next(iter(schema["properties"])) if schema else ""
+        said = json.dumps({name: [{"prompt": "p", "completion": "c"}] if name == "pairs" else ["one", "two"]}) if schema else "plain"
+        said = "no json" if "garbage" in body["messages"][0]["content"] else said
+        message = {"message": {"content": said}}
+        self.send_response(200)
+        self.end_headers()
+        self.wfile.write(json.dumps({"choices": [message]} if self.path.endswith("completions") else message).encode())
+
+    def log_message(self, *args):
+        pass
+
+
+@pytest.mark.parametrize("path", ["/api/chat", "/v1/chat/completions"])
+def test_chat_backend(spark, tmp_path, path):
+    server = HTTPServer(("127.0.0.1", 0), Endpoint)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    url = f"http://127.0.0.1:{server.server_port}{path}"
+    try:
+        chat = ChatGenerator("m", url, pause=0.01)
+        Endpoint.busy = 1
+        assert chat.rewrite("the text") == chat.summarize("t") == chat.reasoning("q", "a", "s") == "plain"
+        assert chat.qa("t") == [{"prompt": "p", "completion": "c"}] and chat.questions("t", 2) == chat.variants("t", 2) == ["one", "two"]
+        assert "the text" in Endpoint.asked[0]["messages"][0]["content"] and Endpoint.asked[0]["model"] == "m" and Endpoint.asked[0]["stream"] is False
+        with pytest.raises(GenerationError):
+            chat.qa("garbage")
+        name, values = cli.parse(["ragval", "--data_path", put(tmp_path / "in", a_dot_md="# a\n" + "w" * 60), "--output_path", str(tmp_path / "out"), "--model_name", "m", "--base_url", url])
+        cli.JOBS[name](spark, **values)
+        assert list(pd.read_csv(tmp_path / "out/ragval_dataset.csv").pregunta) == ["one", "one", "two", "two", "one", "two"]
+    finally:
+        server.shutdown()
+    with pytest.raises(GenerationError):
+        ChatGenerator("m", "http://127.0.0.1:1/api/chat", tries=1).rewrite("t")
