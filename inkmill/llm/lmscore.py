@@ -37,7 +37,7 @@ WORD_BITS = 18
 #: Weight of the pair estimate against the word estimate, and what is added to each word's count.
 PAIR_WEIGHT, ADD = 0.6, 0.1
 #: Bytes of text in a part and per range of keys, and the most of either.
-PART, RANGE, MOST = 8 << 20, 32 << 20, 1 << 16
+PART, RANGE, MOST = 8 << 20, 16 << 20, 1 << 16
 #: Bytes of text that a part is worked on at a time.
 SLICE = 4 << 20
 #: Bits of a key beyond those that number the corpus's tokens: two keys are taken for one with a chance of 2**-SPARE.
@@ -62,7 +62,7 @@ class Plan:
 
 
 class Tokens:
-    """Of every word of a slice: its text, and the keys of itself, its context and its pair."""
+    """Of every word of a slice: its text, and the keys of itself and of the pair that it ends. Contexts are the words before."""
 
     def __init__(self, texts: pa.Array, bits: int) -> None:
         words = Words(texts)
@@ -74,9 +74,7 @@ class Tokens:
         before = np.concatenate((np.zeros(1, U), word[:-1])) if len(word) else word
         before[self.first] = U(_START)
         self.word, self.pair = keyed(word, WORD), keyed(before * U(0x9E3779B97F4A7C15) + word, PAIR)
-        self.context = np.concatenate((np.zeros(1, U), self.word[:-1])) if len(word) else word
         self.start = keyed(np.full(1, _START, U), START)
-        self.context[self.first] = self.start
 
     def keys(self, chosen: np.ndarray | None = None) -> np.ndarray:
         """All keys in order, also of the chosen texts only."""
@@ -84,10 +82,29 @@ class Tokens:
         starts = len(self.first) if chosen is None else int(chosen[self.owner[self.first]].sum())
         return np.sort(np.concatenate((self.word[take], self.pair[take], np.repeat(self.start, starts))))
 
-    def own(self, keys: np.ndarray) -> np.ndarray:
-        """How often each word's key occurs in its own text."""
-        _, which, times = np.unique(mix(keys + self.owner.astype(U) * U(0xD6E8FEB86659FD93)), return_inverse=True, return_counts=True)
-        return times[which]
+    def places(self, keys: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each word's key stands in the known ones (at their end if it doesn't), and how often it occurs in its own text."""
+        order = np.argsort(keys, kind="stable")
+        key, owner = keys[order], self.owner[order]
+        found = _place(known, key)
+        new = np.concatenate(([True], (key[1:] != key[:-1]) | (owner[1:] != owner[:-1]))) if len(key) else np.zeros(0, bool)
+        times = np.diff(np.append(np.flatnonzero(new), len(key)))[np.cumsum(new) - 1] if len(key) else found
+        at, own = np.empty_like(found), np.empty_like(found)
+        at[order], own[order] = found, times
+        return at, own
+
+    def before(self, of_words: np.ndarray, of_start: int) -> np.ndarray:
+        """What words have, for their contexts."""
+        out = np.concatenate(([of_start], of_words[:-1])) if len(of_words) else of_words
+        out[self.first] = of_start
+        return out
+
+
+def _place(known: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    if not len(known):
+        return np.zeros(len(keys), np.int64)
+    at = np.searchsorted(known, keys)
+    return np.where(known[np.minimum(at, len(known) - 1)] == keys, at, len(known))
 
 
 def _summed(keys: np.ndarray, counts: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -193,17 +210,12 @@ def _score(rows: pa.Table, answers: pa.Table, plan: Plan) -> pa.Table:
     out = [pa.table({"doc_id": pa.array([], pa.int64()), "n_tokens": pa.array([], pa.int64()), **{c: pa.array([], pa.float64()) for c in ("loss_target", "loss_background", "score")}})]
     for ids, goal, tokens in _Part(rows, plan).slices():
         n = tokens.count
-        mine = [tokens.own(tokens.word), None, tokens.own(tokens.pair)]
-        mine[1] = np.concatenate((np.ones(1, np.int64), mine[0][:-1])) if len(tokens.word) else mine[0]
-        mine[1][tokens.first] = 1
+        word, pair = tokens.places(tokens.word, key), tokens.places(tokens.pair, key)
+        context = tokens.before(word[0], int(_place(key, tokens.start)[0])), tokens.before(word[1], 1)
         means = []
         for model, total in ((1, n_aimed), (0, n_every)):
             took = goal[tokens.owner] if model else np.ones(len(tokens.word), bool)  # the model has counted this text
-            left = []
-            for k, own in zip((tokens.word, tokens.context, tokens.pair), mine):
-                at = np.searchsorted(key, k)
-                at = np.where(key[np.minimum(at, len(key) - 1)] == k, at, len(key)) if len(key) else np.zeros(len(k), np.int64)
-                left.append(np.maximum(0.0, counts[model][at] - np.where(took, own, 0)))
+            left = [np.maximum(0.0, counts[model][at] - np.where(took, own, 0)) for at, own in (word, context, pair)]
             whole = total - np.where(took, n[tokens.owner], 0)
             means.append(np.bincount(tokens.owner, _losses(*left, whole, scales[model], vocabulary), len(n)) / np.maximum(n, 1))
         losses = [pa.array(m, mask=n == 0) for m in means]
