@@ -50,22 +50,22 @@ def _quality() -> str:
     counted = ", ".join(f"length(t) - length(regexp_replace(t, '{p}', '', 'g')) as n_{c}" for c, p in patterns.items())
     letters = r"length(t) - length(regexp_replace(t, '\p{L}', '', 'g'))"
     return rf"""
-with base as (select doc_id, coalesce(text, '') as t, {SPLIT} as w from documents),
-counted as (select doc_id, t, w, len(w)::bigint as n_words, {counted}, {letters} as n_letters,
+with base as (select doc_id, lang is null or lang in ({", ".join(f"'{x}'" for x in Q.CLASS_SHARES)}) as scope, coalesce(text, '') as t, {SPLIT} as w from documents),
+counted as (select doc_id, scope, t, w, len(w)::bigint as n_words, {counted}, {letters} as n_letters,
  list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines from base),
 classes as (select *, n_letters - n_lower - n_upper as n_other, length(t) - n_letters - n_digit - n_space - n_symbol as n_punct from counted),
 starts as (select doc_id, k, array_to_string(w[k : k + 2], ' ') as s from (select doc_id, w, unnest(generate_series(1, len(w)::bigint - 2)) as k from base)),
 again as (select doc_id, k from (select doc_id, k, count(*) over (partition by doc_id, s) as c from starts) where c > 1),
 repeats as (select doc_id, count(distinct k + d)::bigint as n from again, lateral (select unnest([0, 1, 2]) as d) group by doc_id),
-shares as (select classes.doc_id, n_words, (length(t) - n_space)::bigint as word_chars, n_symbol::bigint as n_symbols, (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines, coalesce(repeats.n, 0)::bigint as n_repeat_words,
+shares as (select classes.doc_id, scope, n_words, (length(t) - n_space)::bigint as word_chars, n_symbol::bigint as n_symbols, (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines, coalesce(repeats.n, 0)::bigint as n_repeat_words,
  {", ".join(f"n_{c} / greatest(1, length(t))::double as c_{c}" for c in Q.CLASSES)},
  {", ".join(f"len(list_filter(w, lambda x: x = '{w}')) / greatest(1, n_words)::double as w_{i}" for i, w in enumerate(common))}
  from classes left join repeats on repeats.doc_id = classes.doc_id),
 apart as (select *, {", ".join(f"{d} as bc_{i}" for i, d in enumerate(by_class))}, {", ".join(f"{d} as bw_{i}" for i, d in enumerate(by_words))} from shares),
-verdict as (select *, least({", ".join(f"bc_{i}" for i in langs)}) as class_distance, least({", ".join(f"(bc_{i} + bw_{i}) / 2" for i in langs)}) as distance, n_words < {Q.MIN_WORDS} or 100 * n_repeat_words > 50 * n_words as base_failed from apart)
+verdict as (select *, least({", ".join(f"bc_{i}" for i in langs)}) as class_distance, least({", ".join(f"bw_{i}" for i in langs)}) as word_distance, n_words < {Q.MIN_WORDS} or 100 * n_repeat_words > 50 * n_words as base_failed from apart)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
- not base_failed and not (word_chars >= {Q.GUARD_CHARS} and n_words >= {Q.GUARD_WORDS} and (distance > {Q.MAX_DISTANCE} or class_distance > {Q.MAX_CLASS_DISTANCE})) as kept,
- round(class_distance, 6) as class_distance, round(distance, 6) as distance from verdict"""
+ not base_failed and not (scope and word_chars >= {Q.GUARD_CHARS} and c_other <= c_lower + c_upper and (class_distance > {Q.MAX_CLASS_DISTANCE} or (n_words >= {Q.GUARD_WORDS} and word_distance > {Q.MAX_WORD_DISTANCE}))) as kept,
+ round(class_distance, 6) as class_distance, round(word_distance, 6) as word_distance from verdict"""
 
 
 ORACLE = {"op5_near_duplicates": NEAR_DUPLICATES, "op6_substring_dedup": SUBSTRINGS, "op7_quality": _quality()}
