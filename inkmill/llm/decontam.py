@@ -2,15 +2,23 @@
 
 Words are stripped of punctuation and lower-cased; numbers, names (capitalised words inside a sentence) and units after a
 number become typed placeholders. All windows of three template words (two where an item's length asks for it) of the documents
-are hash-joined with all windows of the benchmark items. An alignment with as many agreeing words as a leak needs shares at
-least a number of windows with its item that follows from the item's length; alignments with fewer are none, so no leak is
-missed. Each candidate alignment is then compared word by word: the document leaks the item if enough template words agree and the placeholders' values map one to one, so
-that a question with other numbers or names in it is found, and an accidental agreement of placeholders is not.
-
-Main path: SQL expressions and joins only. The benchmark's windows are broadcast only below `BROADCAST_BYTES` of text.
-
-Defined results: null or short texts match nothing; rows with a null doc_id are judged like others; repeated rows give equal
-rows once; an empty table on either side gives an empty result; other columns are ignored by `find_leaks` and kept by
+are hash-joined with windows of the benchmark items. An alignment with as many agreeing words as a leak needs shares at least
+a number of windows with its item that follows from the item's length, so it shares one of the item's rarest windows even if
+that number less one of its commonest are left out of the index: no leak is missed, and windows that are everywhere in the
+benchmark are not joined. Each candidate alignment is then compared word by word: the document leaks the item if enough template
+words agree and the placeholders' values map one to one, so that a question with other numbers or names in it is found, and an
+accidental agreement of placeholders is not.
+
+A leak has `RUN` agreeing words in a row, or `SHARE` of the item's words, and `LEAST_PLAIN` of them are no placeholders; an item
+with fewer plain words than that must agree in all of them. Items with fewer than `LEAST_ITEM` plain words say too little to be
+told from chance and are not looked for.
+
+Main path: SQL expressions and joins only. The benchmark's windows are broadcast only below `BROADCAST_BYTES` of text, and
+candidate alignments only below a counted number; beyond, both are joined by sort-merge, whose skewed partitions Spark splits.
+
+Defined results: null or short texts match nothing; very long ones are searched whole; rows with a null doc_id are judged like
+others; repeated rows give equal rows once; of several places of an item in a document the best agreement counts, the first
+among equals; an empty table on either side gives an empty result; other columns are ignored by `find_leaks` and kept by
 `drop_leaks`.
 """
 
@@ -18,13 +26,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from inkmill.llm.common import let, measure, table
+from inkmill.llm.common import let, measure, saved, sized_for_join, table
 
 #: Words of a window, the first width for which every leak of an item has to share a window with it.
 WIDTHS = (3, 2)
 #: A leak: a run of so many agreeing words, or such a share of the item's; and so many agreeing words that are no placeholders.
 RUN, SHARE, LEAST_PLAIN = 13, 0.7, 7
+#: Plain words without which an item isn't looked for.
+LEAST_ITEM = 4
 BROADCAST_BYTES = 16 << 20
 
 NUM, NAME, UNIT = "\ue000", "\ue001", "\ue002"
@@ -56,13 +67,13 @@ def _windows(words: Column, width: int) -> Column:
     return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), hashed)).otherwise(F.array())
 
 
-def _shared(length: Column, width: int) -> Column:
+def _shared(length: Column, plain: Column, width: int) -> Column:
     """Windows that an alignment with enough agreeing words shares with its item at least, by the item's length.
 
     So many words that agree, the others between them, form at most one stretch more than there are others, and a stretch has
     `width` - 1 windows fewer than words.
     """
-    agree = F.greatest(F.ceil(SHARE * length), F.lit(LEAST_PLAIN))
+    agree = F.greatest(F.ceil(SHARE * length), F.least(F.lit(LEAST_PLAIN), plain))
     return agree - (width - 1) * (length - agree + 1)
 
 
@@ -77,7 +88,23 @@ def _keyed(docs: DataFrame, text: str) -> DataFrame:
 
 def _items(benchmark: DataFrame) -> DataFrame:
     body = marked(F.coalesce(F.col("text"), F.lit("")))
-    return benchmark.filter(F.col("item_id").isNotNull()).select(F.col("item_id").cast("long").alias("item_id"), _list(body).alias("item_raw"), _list(template(body)).alias("item_words"))
+    items = benchmark.filter(F.col("item_id").isNotNull()).select(F.col("item_id").cast("long").alias("item_id"), _list(body).alias("item_raw"), _list(template(body)).alias("item_words"))
+    # one item_id may name several texts
+    items = items.withColumn("variant", F.xxhash64("item_raw")).distinct()
+    return items.withColumn("plain", F.size(F.filter("item_words", lambda w: ~_is_slot(w)))).filter(F.col("plain") >= LEAST_ITEM)
+
+
+def _index(items: DataFrame, widths: list[int]) -> DataFrame:
+    """item_id, variant, item_pos, h: of each item, its windows but the commonest that may be left out."""
+    of_width = lambda then: F.coalesce(*(F.when(F.col("width") == w, then(w)) for w in widths or WIDTHS))
+    # a run that makes a leak by itself may lie in an item of which the rest differs; an item has windows of its own width only
+    need = of_width(lambda w: F.least(_shared(F.size("item_words"), F.col("plain"), w), F.lit(RUN - w + 1)))
+    rows = items.select("item_id", "variant", need.alias("need"), F.posexplode(of_width(lambda w: _windows(F.col("item_words"), w))).alias("n", "w"))
+    rows = rows.select("item_id", "variant", "need", F.col("w.pos").alias("item_pos"), F.col("w.h").alias("h"))
+    common = rows.groupBy("h").agg(F.count(F.lit(1)).alias("often"))
+    ranked = rows.join(common, "h").withColumn("rank", F.row_number().over(Window.partitionBy("item_id", "variant").orderBy("often", "h", "item_pos")))
+    ranked = ranked.withColumn("size", F.count(F.lit(1)).over(Window.partitionBy("item_id", "variant")))
+    return ranked.filter(F.col("rank") <= F.col("size") - F.col("need") + 1).select("item_id", "variant", "item_pos", "h")
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
@@ -88,26 +115,21 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> Dat
 def _leaks(docs: DataFrame, benchmark: DataFrame, text: str) -> DataFrame:
     few = measure(benchmark)[1] <= BROADCAST_BYTES
     small = F.broadcast if few else (lambda df: df)
-    items = _items(benchmark)
     length = F.size("item_words")
-    width = F.coalesce(*(F.when(_shared(length, w) >= 1, F.lit(w)) for w in WIDTHS))
-    long_enough = items.filter(length >= LEAST_PLAIN).withColumn("width", width)
-    widths = sorted(r["width"] for r in long_enough.select("width").distinct().collect())
+    width = F.coalesce(*(F.when(_shared(length, F.col("plain"), w) >= 1, F.lit(w)) for w in WIDTHS))
+    items = _items(benchmark).withColumn("width", width)
+    widths = sorted(r["width"] for r in items.select("width").distinct().collect())
+    index = saved(_index(items, widths))
     keyed = _keyed(docs, text)
-    # a run that makes a leak by itself may lie in an item of which the rest differs; an item has windows of its own width only
-    need = F.coalesce(*(F.when(F.col("width") == w, F.least(_shared(length, w), F.lit(RUN - w + 1))) for w in WIDTHS)).alias("need")
-    index = long_enough.select("item_id", need, F.explode(F.coalesce(*(F.when(F.col("width") == w, _windows(F.col("item_words"), w)) for w in WIDTHS))).alias("w"))
-    index = index.select("item_id", "need", F.col("w.pos").alias("item_pos"), F.col("w.h").alias("h"))
     every = let(_list(template(marked(F.col("text")))), lambda words: F.concat(*(_windows(words, w) for w in widths or WIDTHS)))
     probes = keyed.select("doc_id", "text_hash", F.explode(every).alias("w"))
     hits = probes.select("doc_id", "text_hash", F.col("w.pos").alias("pos"), F.col("w.h").alias("h")).join(small(index), "h")
-    # repeated rows count more, which only adds candidates
-    aligned = hits.groupBy("doc_id", "text_hash", "item_id", "need", (F.col("pos") - F.col("item_pos")).alias("shift")).agg(F.count(F.lit(1)).alias("hits"))
-    aligned = aligned.filter("hits >= need").select("doc_id", "text_hash", "item_id", "shift")
-    found = keyed.alias("d").join(aligned.alias("a"), F.expr("d.doc_id <=> a.doc_id AND d.text_hash = a.text_hash")).select("d.doc_id", "d.text_hash", "d.text", "a.item_id", "a.shift")
-    found = found.withColumn("plain", marked(F.col("text"))).select("doc_id", "text_hash", "item_id", "shift", _list(F.col("plain")).alias("raw"), _list(template(F.col("plain"))).alias("words"))
-    judged = _compare(found.join(small(items), "item_id"))
-    leaks = judged.filter(((F.col("longest_run") >= RUN) | (F.col("matched") >= SHARE * F.col("item_len"))) & (F.col("matched") - F.col("n_slots") >= LEAST_PLAIN) & F.col("one_to_one"))
+    aligned = saved(hits.select("doc_id", "text_hash", "item_id", "variant", (F.col("pos") - F.col("item_pos")).alias("shift")).distinct())
+    found = keyed.alias("d").join(sized_for_join(aligned).alias("a"), F.expr("d.doc_id <=> a.doc_id AND d.text_hash = a.text_hash")).select("d.doc_id", "d.text_hash", "d.text", "a.item_id", "a.variant", "a.shift")
+    found = found.withColumn("marked", marked(F.col("text"))).select("doc_id", "text_hash", "item_id", "variant", "shift", _list(F.col("marked")).alias("raw"), _list(template(F.col("marked"))).alias("words"))
+    judged = _compare(found.join(small(items), ["item_id", "variant"]))
+    agreeing = (F.col("longest_run") >= RUN) | (F.col("matched") >= SHARE * F.col("item_len"))
+    leaks = judged.filter(agreeing & (F.col("matched") - F.col("n_slots") >= F.least(F.lit(LEAST_PLAIN), F.col("plain"))) & F.col("one_to_one"))
     best = F.max(F.struct("matched", "longest_run", "verbatim", (-F.col("doc_word")).alias("at"), "item_len", "n_slots")).alias("b")
     leaks = leaks.groupBy("doc_id", "text_hash", "item_id").agg(best)
     return leaks.select("doc_id", "text_hash", "item_id", (-F.col("b.at")).cast("long").alias("doc_word"), *(F.col(f"b.{c}").cast("long").alias(c) for c in ("matched", "longest_run", "item_len", "n_slots")), F.col("b.verbatim").alias("verbatim"))
@@ -132,7 +154,7 @@ def _compare(rows: DataFrame) -> DataFrame:
     values = lambda field: F.size(F.array_distinct(F.transform("slots", lambda p: p[field])))
     both = F.size(F.array_distinct(F.transform("slots", lambda p: F.struct(p["a"], p["b"]))))
     return rows.select(
-        "doc_id", "text_hash", "item_id", "longest_run",
+        "doc_id", "text_hash", "item_id", "longest_run", "plain",
         F.greatest(F.col("shift"), F.lit(0)).alias("doc_word"),
         F.size("agreed").alias("matched"),
         F.size("item_words").alias("item_len"),
@@ -144,7 +166,7 @@ def _compare(rows: DataFrame) -> DataFrame:
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The rows without a leak, with all their columns."""
-    leaks = _leaks(docs, benchmark, text).select("doc_id", "text_hash").distinct()
+    leaks = sized_for_join(saved(_leaks(docs, benchmark, text).select("doc_id", "text_hash").distinct()))
     body = F.coalesce(docs[text], F.lit(""))
     return docs.join(leaks, docs["doc_id"].cast("long").eqNullSafe(leaks["doc_id"]) & (F.xxhash64(body) == leaks["text_hash"]), "left_anti")
 

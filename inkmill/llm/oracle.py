@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+from inkmill.llm import decontam as D
 from inkmill.llm import quality as Q
 
 SPLIT = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
@@ -68,4 +69,28 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
  round(class_distance, 6) as class_distance, round(word_distance, 6) as word_distance from verdict"""
 
 
-ORACLE = {"op5_near_duplicates": NEAR_DUPLICATES, "op6_substring_dedup": SUBSTRINGS, "op7_quality": _quality()}
+def _leaks() -> str:
+    """Every document against every item at every alignment that shares a word; no windows.
+
+    RE2 has no look-around, so what stands around a name or a unit is matched and put back, and each replacement is done twice,
+    as neighbours share what stands between them.
+    """
+    twice = lambda text, pattern, to: f"regexp_replace(regexp_replace({text}, '{pattern}', '{to}', 'g'), '{pattern}', '{to}', 'g')"
+    marked = f"regexp_replace({twice("coalesce(text, '')", r"([\p{Ll},;] )(\p{Lu}\p{L})", rf"\1{D.NAME}\2")}, '[^\\p{{L}}\\p{{N}}{D.NAME}\\x20\\x09-\\x0D]+', '', 'g')"
+    slots = f"lower(regexp_replace(regexp_replace(m, '{D.NAME}\\p{{L}}+', '{D.NAME}', 'g'), '[0-9]+', '{D.NUM}', 'g'))"
+    template = twice(slots, rf"({D.NUM} ?)(?:{'|'.join(D.UNITS)})([^\p{{L}}\p{{N}}]|$)", rf"\1{D.UNIT}\2")
+    words = lambda x: SPLIT.replace("coalesce(text, '')", x)
+    return rf"""
+with d as (select row_number() over () as d, doc_id, {marked} as m from documents), i as (select row_number() over () as i, item_id, {marked} as m from benchmark where item_id is not null),
+dw as (select d, doc_id, generate_subscripts(w, 1) - 1 as p, unnest(w) as t, lower(unnest({words("m")})) as raw from (select *, {words(template)} as w from d)),
+iw as (select i, item_id, len(w) as item_len, len(list_filter(w, lambda x: not regexp_matches(x, '[{D.NUM}{D.NAME}{D.UNIT}]'))) as plain, generate_subscripts(w, 1) - 1 as p, unnest(w) as t, lower(unnest({words("m")})) as raw from (select *, {words(template)} as w from i)),
+met as (select d, doc_id, i, item_id, item_len, plain, iw.p, dw.p - iw.p as shift, iw.raw as a, dw.raw as b, regexp_matches(iw.t, '[{D.NUM}{D.NAME}{D.UNIT}]') as slot from dw join iw on dw.t = iw.t where plain >= {D.LEAST_ITEM}),
+runs as (select d, i, shift, max(n) as longest_run from (select d, i, shift, count(*) as n from (select d, i, shift, p - row_number() over (partition by d, i, shift order by p) as g from met) group by d, i, shift, g) group by d, i, shift),
+sums as (select d, any_value(doc_id) as doc_id, i, any_value(item_id) as item_id, shift, greatest(shift, 0) as doc_word, count(*) as matched, any_value(item_len) as item_len, any_value(plain) as plain, count(*) filter (slot) as n_slots,
+ count(distinct a) filter (slot) as n_a, count(distinct b) filter (slot) as n_b, count(distinct (a, b)) filter (slot) as n_ab, bool_and(a = b) as verbatim from met group by d, i, shift having count(*) >= {D.LEAST_ITEM}),
+leaks as (select * from sums join runs using (d, i, shift) where (longest_run >= {D.RUN} or matched >= {D.SHARE}::double * item_len) and matched - n_slots >= least({D.LEAST_PLAIN}, plain) and n_a = n_ab and n_b = n_ab),
+best as (select *, row_number() over (partition by d, item_id order by matched desc, longest_run desc, verbatim desc, doc_word, item_len desc, n_slots desc) as k from leaks)
+select distinct doc_id, item_id, doc_word::bigint as doc_word, matched::bigint as matched, longest_run::bigint as longest_run, item_len::bigint as item_len, n_slots::bigint as n_slots, verbatim from best where k = 1"""
+
+
+ORACLE = {"op10_decontamination": _leaks(), "op5_near_duplicates": NEAR_DUPLICATES, "op6_substring_dedup": SUBSTRINGS, "op7_quality": _quality()}

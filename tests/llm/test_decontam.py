@@ -75,3 +75,56 @@ def test_edits_at_any_place_and_alignment_are_found(spark):
         items.append(" ".join(words))
     got = {(r.doc_id, r.item_id) for r in find_leaks(frame(spark, [t for _, t in texts]), bench(spark, *items)).collect()}
     assert got == {(i, item) for i, (item, _) in enumerate(texts)}
+
+
+def test_short_items_are_found_at_any_place(spark):
+    """Items of 4 to 12 words after 0 to 7 other words; an item that is one word short of any rule is not found."""
+    items, texts = [], []
+    for length in range(4, 13):
+        item = " ".join(f"{chr(97 + i)}q{chr(97 + length)}" for i in range(length))
+        texts += [(len(items), "lead " * lead + item + " and a tail") for lead in range(8)]
+        items.append(item)
+    broken = [" ".join(w if i else "other" for i, w in enumerate(item.split())) for item in items if len(item.split()) < 8]
+    got = {(r.doc_id, r.item_id) for r in find_leaks(frame(spark, [t for _, t in texts] + broken), bench(spark, *items, "too few words")).collect()}
+    assert got == {(i, item) for i, (item, _) in enumerate(texts)}
+
+
+def random_tables():
+    """Texts of few distinct words with names, numbers and units, and documents that hold edited copies of them."""
+    import random
+
+    rng = random.Random(17)
+    pool = ["the", "of", "a", "train", "runs", "from", "Alice", "Bob", "Zoë", "met", "5", "12", "7 kg", "3km", "40 mph", "12,5", "and,", "then;", "Éva", "o'clock", "x-ray", "in", "old", "park", "(big)", "day."]
+    some = lambda n: [rng.choice(pool) if rng.random() < 0.6 else f"w{chr(97 + rng.randrange(26))}{chr(97 + rng.randrange(26))}" for _ in range(n)]
+    items = [some(rng.randrange(3, 40)) for _ in range(40)]
+    docs = []
+    for k in range(300):
+        words = some(rng.randrange(0, 30))
+        for _ in range(rng.randrange(3)):
+            copy = [w if rng.random() > rng.choice([0, 0.1, 0.3]) else rng.choice(pool) for w in rng.choice(items)]
+            other = {"5": "9", "Alice": "Carol", "7 kg": "8 kg"} if rng.random() < 0.4 else {}
+            copy = [other.get(w, w) for w in copy]
+            copy = copy[rng.randrange(3) :] if rng.random() < 0.3 else copy
+            words += copy + some(rng.randrange(5))
+        docs.append(rng.choice([" ", "  ", "\n"]).join(words))
+    return docs, [" ".join(x) for x in items]
+
+
+def test_random_texts_equal_a_comparison_at_every_alignment(spark):
+    import duckdb
+
+    from inkmill.llm.oracle import ORACLE
+
+    docs, items = random_tables()
+    con = duckdb.connect()
+    for name, texts, key in (("documents", docs, "doc_id"), ("benchmark", items, "item_id")):
+        con.register(name, pd.DataFrame({key: range(len(texts)), "text": texts}))
+    want = sorted(tuple(r) for r in con.sql(f"select doc_id, item_id, doc_word, matched, longest_run, item_len, n_slots, verbatim from ({ORACLE['op10_decontamination']})").fetchall())
+    got = sorted(tuple(r) for r in find_leaks(frame(spark, docs), bench(spark, *items)).collect())
+    assert got == want and len(got) > 100 and sum(not r[-1] for r in got) > 10
+
+
+def test_items_of_one_id_and_repeated_items(spark):
+    items = spark.createDataFrame([(1, QUESTION), (1, QUESTION), (1, " ".join(f"other{chr(97 + i)}" for i in range(15)))], "item_id long, text string")
+    got = find_leaks(frame(spark, [QUESTION, " ".join(f"other{chr(97 + i)}" for i in range(15)), "nothing"]), items).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == [(0, 1), (1, 1)]
