@@ -134,6 +134,20 @@ def unsqueeze_sorted(blob: bytes) -> np.ndarray:
     return np.cumsum(unsqueeze(blob), dtype=U)
 
 
+def framed(pieces: list[bytes]) -> bytes:
+    """Byte strings behind each other, each after its length."""
+    return b"".join(len(p).to_bytes(8, "little") + p for p in pieces)
+
+
+def unframed(blob: bytes) -> list[bytes]:
+    out, i = [], 0
+    while i < len(blob):
+        n = int.from_bytes(blob[i : i + 8], "little")
+        out.append(blob[i + 8 : i + 8 + n])
+        i += 8 + n
+    return out
+
+
 def bucket_bounds(sorted_keys: np.ndarray, buckets: int) -> np.ndarray:
     """Where each of `buckets` equal ranges of the 64-bit key space begins and ends in sorted keys."""
     edges = np.array([(k << 64) // buckets for k in range(1, buckets)], dtype=U)

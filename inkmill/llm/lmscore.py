@@ -54,11 +54,12 @@ class Plan:
     parts: int
     ranges: int
     bits: int
+    slice: int
 
     @classmethod
-    def of(cls, n_bytes: int, part: int, span: int) -> Plan:
+    def of(cls, n_bytes: int, part: int, span: int, slice_bytes: int) -> Plan:
         tokens = n_bytes // 2 + 1
-        return cls(split_count(n_bytes, part, most=MOST), split_count(n_bytes, span, most=MOST), min(64, tokens.bit_length() + SPARE))
+        return cls(split_count(n_bytes, part, most=MOST), split_count(n_bytes, span, most=MOST), min(64, tokens.bit_length() + SPARE), slice_bytes)
 
 
 class Tokens:
@@ -127,7 +128,7 @@ class _Part:
         self.plan = plan
         named = rows.filter(rows.column("text").is_null()).column("doc_id").to_numpy()
         docs = rows.select(["doc_id", "text"]).filter(rows.column("text").is_valid()).combine_chunks()
-        self.batches = [s for b in docs.to_batches() for s in sliced(b, 1, SLICE)]
+        self.batches = [s for b in docs.to_batches() for s in sliced(b, 1, plan.slice)]
         self.named = named
 
     def slices(self):
@@ -223,9 +224,9 @@ def _score(rows: pa.Table, answers: pa.Table, plan: Plan) -> pa.Table:
     return pa.concat_tables(out).combine_chunks()
 
 
-def score(docs: DataFrame, target: DataFrame, text: str = "text", part_bytes: int = PART, range_bytes: int = RANGE) -> DataFrame:
+def score(docs: DataFrame, target: DataFrame, text: str = "text", part_bytes: int = PART, range_bytes: int = RANGE, slice_bytes: int = SLICE) -> DataFrame:
     """doc_id, n_tokens, loss_target, loss_background and score for every row; `target` has the doc_id of the target documents."""
-    plan = Plan.of(measure(docs, text)[1], part_bytes, range_bytes)
+    plan = Plan.of(measure(docs, text)[1], part_bytes, range_bytes, slice_bytes)
     part = lambda key: F.pmod(F.xxhash64(key), F.lit(plan.parts)).cast("int").alias("part")
     doc: Column = F.col("doc_id").cast("long")
     body = F.coalesce(F.col(text), F.lit(""))

@@ -5,7 +5,7 @@ import random
 
 from helpers import ODD, WORDS, documents, frame, save
 
-from inkmill.llm.substrings import op6_substring_dedup, remove_repeats
+from inkmill.llm.substrings import _Plan, dealt, op6_substring_dedup, remove_repeats, sent_probes
 
 
 def brute(texts, window):
@@ -48,8 +48,22 @@ def test_random_small_windows_over_many_parts(spark):
 
     rng = random.Random(3)
     texts = [" ".join(rng.choices("abc", k=rng.randrange(25))) for _ in range(150)]
-    df = remove_repeats(frame(spark, texts), window=6, part_bytes=100, range_keys=40)
+    df = remove_repeats(frame(spark, texts), window=6, task_bytes=100, fine_keys=10)
     assert got(df.withColumn("kept_sha256", F.sha2("kept_text", 256))) == brute(list(enumerate(texts)), 6)
     again = frame(spark, texts).union(frame(spark, texts))  # rows of one id leave each other alone
     df = remove_repeats(again, window=5).withColumn("kept_sha256", F.sha2("kept_text", 256))
     assert got(df) == brute([*enumerate(texts)] * 2, 5)
+
+
+def test_blobs_do_not_grow_with_the_corpus(spark):
+    """With tasks and ranges fixed, a task's many slices go out in one blob a range, and rows stay the same."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(5)
+    texts = [" ".join(rng.choices("abcdef", k=rng.randrange(40))) for _ in range(400)]
+    df = frame(spark, texts)
+    few = {"tasks": 3, "ranges": 4, "slice_bytes": 60, "fine_keys": 50}
+    plan = _Plan(10_000, 6, 1, **few)
+    assert plan.fine > 1 and sent_probes(dealt(df.select("doc_id", "text"), plan), plan).count() <= 12
+    out = remove_repeats(df, window=6, **few).withColumn("kept_sha256", F.sha2("kept_text", 256))
+    assert got(out) == brute(list(enumerate(texts)), 6)
