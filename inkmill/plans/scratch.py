@@ -30,12 +30,17 @@ def _delete(spark: SparkSession, path: str) -> None:
         return
 
 
+def on_exit(spark: SparkSession, path: str) -> None:
+    """Delete a folder when Python ends."""
+    atexit.register(_delete, spark, path)
+
+
 def saved(df: DataFrame) -> DataFrame:
     """The frame as a Parquet table in the shared folder: written once, survives lost executors, dropped when Python ends."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/inkmill-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    atexit.register(_delete, spark, path)
+    on_exit(spark, path)
     out = spark.read.schema(df.schema).parquet(path)
     out._inkmill_path = path
     return out

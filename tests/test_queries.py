@@ -9,6 +9,7 @@ import pandas as pd
 import pytest
 
 from inkmill import queries
+from inkmill import queries_files  # noqa: F401
 
 
 def rows(frame):
