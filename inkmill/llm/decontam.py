@@ -3,9 +3,9 @@
 Words are stripped of punctuation and lower-cased; numbers, names (capitalised words inside a sentence) and units after a
 number become typed placeholders. All windows of three template words (two where an item's length asks for it) of the documents
 are hash-joined with windows of the benchmark items. An alignment with as many agreeing words as a leak needs shares at least
-a number of windows with its item that follows from the item's length, so it shares one of the item's rarest windows even if
-that number less one of its commonest are left out of the index: no leak is missed, and windows that are everywhere in the
-benchmark are not joined. Each candidate alignment is then compared word by word: the document leaks the item if enough template
+a number of windows with its item that follows from the item's length; alignments with fewer are none, so no leak is missed.
+Windows that are common in the benchmark are left out of the index as long as that number, lowered by one for each, stays
+above none, so a benchmark's stock phrases make no hot keys. Each candidate alignment is then compared word by word: the document leaks the item if enough template
 words agree and the placeholders' values map one to one, so that a question with other numbers or names in it is found, and an
 accidental agreement of placeholders is not.
 
@@ -36,6 +36,8 @@ WIDTHS = (3, 2)
 RUN, SHARE, LEAST_PLAIN = 13, 0.7, 7
 #: Plain words without which an item isn't looked for.
 LEAST_ITEM = 4
+#: A window found so often in the benchmark is common.
+COMMON = 64
 BROADCAST_BYTES = 16 << 20
 
 NUM, NAME, UNIT = "\ue000", "\ue001", "\ue002"
@@ -95,16 +97,17 @@ def _items(benchmark: DataFrame) -> DataFrame:
 
 
 def _index(items: DataFrame, widths: list[int]) -> DataFrame:
-    """item_id, variant, item_pos, h: of each item, its windows but the commonest that may be left out."""
+    """item_id, variant, need, item_pos, h: of each item, its windows but the common ones that may be left out, and how many of the rest a leak shares."""
     of_width = lambda then: F.coalesce(*(F.when(F.col("width") == w, then(w)) for w in widths or WIDTHS))
     # a run that makes a leak by itself may lie in an item of which the rest differs; an item has windows of its own width only
     need = of_width(lambda w: F.least(_shared(F.size("item_words"), F.col("plain"), w), F.lit(RUN - w + 1)))
     rows = items.select("item_id", "variant", need.alias("need"), F.posexplode(of_width(lambda w: _windows(F.col("item_words"), w))).alias("n", "w"))
     rows = rows.select("item_id", "variant", "need", F.col("w.pos").alias("item_pos"), F.col("w.h").alias("h"))
     common = rows.groupBy("h").agg(F.count(F.lit(1)).alias("often"))
-    ranked = rows.join(common, "h").withColumn("rank", F.row_number().over(Window.partitionBy("item_id", "variant").orderBy("often", "h", "item_pos")))
-    ranked = ranked.withColumn("size", F.count(F.lit(1)).over(Window.partitionBy("item_id", "variant")))
-    return ranked.filter(F.col("rank") <= F.col("size") - F.col("need") + 1).select("item_id", "variant", "item_pos", "h")
+    item = Window.partitionBy("item_id", "variant")
+    ranked = rows.join(common, "h").withColumn("rank", F.row_number().over(item.orderBy(F.desc("often"), "h", "item_pos")))
+    ranked = ranked.withColumn("out", F.least(F.col("need") - 1, F.count_if(F.col("often") >= COMMON).over(item)))
+    return ranked.filter("rank > out").select("item_id", "variant", (F.col("need") - F.col("out")).alias("need"), "item_pos", "h")
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
@@ -124,7 +127,9 @@ def _leaks(docs: DataFrame, benchmark: DataFrame, text: str) -> DataFrame:
     every = let(_list(template(marked(F.col("text")))), lambda words: F.concat(*(_windows(words, w) for w in widths or WIDTHS)))
     probes = keyed.select("doc_id", "text_hash", F.explode(every).alias("w"))
     hits = probes.select("doc_id", "text_hash", F.col("w.pos").alias("pos"), F.col("w.h").alias("h")).join(small(index), "h")
-    aligned = saved(hits.select("doc_id", "text_hash", "item_id", "variant", (F.col("pos") - F.col("item_pos")).alias("shift")).distinct())
+    # repeated rows count more, which only adds candidates
+    aligned = hits.groupBy("doc_id", "text_hash", "item_id", "variant", "need", (F.col("pos") - F.col("item_pos")).alias("shift")).agg(F.count(F.lit(1)).alias("hits"))
+    aligned = saved(aligned.filter("hits >= need").select("doc_id", "text_hash", "item_id", "variant", "shift"))
     found = keyed.alias("d").join(sized_for_join(aligned).alias("a"), F.expr("d.doc_id <=> a.doc_id AND d.text_hash = a.text_hash")).select("d.doc_id", "d.text_hash", "d.text", "a.item_id", "a.variant", "a.shift")
     found = found.withColumn("marked", marked(F.col("text"))).select("doc_id", "text_hash", "item_id", "variant", "shift", _list(F.col("marked")).alias("raw"), _list(template(F.col("marked"))).alias("words"))
     judged = _compare(found.join(small(items), ["item_id", "variant"]))

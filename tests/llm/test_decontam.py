@@ -1,8 +1,10 @@
 from __future__ import annotations
 
 import pandas as pd
+import pytest
 from helpers import ODD, WORDS, documents, frame
 
+from inkmill.llm import decontam
 from inkmill.llm.decontam import drop_leaks, find_leaks, op10_decontamination
 
 
@@ -110,9 +112,11 @@ def random_tables():
     return docs, [" ".join(x) for x in items]
 
 
-def test_random_texts_equal_a_comparison_at_every_alignment(spark):
+@pytest.mark.parametrize("common", [decontam.COMMON, 2])
+def test_random_texts_equal_a_comparison_at_every_alignment(spark, monkeypatch, common):
     import duckdb
 
+    monkeypatch.setattr(decontam, "COMMON", common)
     from inkmill.llm.oracle import ORACLE
 
     docs, items = random_tables()
