@@ -11,8 +11,9 @@ target has no advantage over one that was never seen, and copies elsewhere in th
 The counts grow with the corpus and stay distributed: documents are dealt to parts, a part sends its distinct keys and their
 counts in one compressed blob to each range of the key space, and a range answers each part with the whole corpus's counts of
 the part's keys. Keys that occur once in all are not answered, as nothing is left of them without their document. Parts and
-ranges grow with the bytes of text up to `MOST`, beyond that their sizes do; a part is worked on in slices. Nothing but the
-size of the text reaches the driver.
+ranges grow with the bytes of text up to `MOST`, beyond that (from half a TB on) their sizes do: a part is worked on in slices
+and a blob is made of pieces, one for each fine range that is summed at a time. Nothing but the size of the text reaches the
+driver.
 
 Defined results: a null or blank text has no tokens, null losses and score 0; a document is target if any of its labels says so;
 rows with a null doc_id count as background; repeated rows are documents of their own, each counted and scored; without any
@@ -22,6 +23,7 @@ table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkmill.llm.common import measure, split_count, table
-from inkmill.llm.hashing import U, Words, bucket_bounds, group_starts, mix, sliced, squeeze, squeeze_sorted, unsqueeze, unsqueeze_sorted
+from inkmill.llm.hashing import U, Words, bucket_bounds, framed, group_starts, mix, sliced, squeeze, squeeze_sorted, unframed, unsqueeze, unsqueeze_sorted
 
 #: Words that smoothing allows for are 2**WORD_BITS, or the distinct words of the corpus where these are more.
 WORD_BITS = 18
@@ -53,13 +55,15 @@ class Plan:
 
     parts: int
     ranges: int
+    fine: int
     bits: int
     slice: int
 
     @classmethod
     def of(cls, n_bytes: int, part: int, span: int, slice_bytes: int) -> Plan:
         tokens = n_bytes // 2 + 1
-        return cls(split_count(n_bytes, part, most=MOST), split_count(n_bytes, span, most=MOST), min(64, tokens.bit_length() + SPARE), slice_bytes)
+        ranges = split_count(n_bytes, span, most=MOST)
+        return cls(split_count(n_bytes, part, most=MOST), ranges, split_count(n_bytes, span * ranges), min(64, tokens.bit_length() + SPARE), slice_bytes)
 
 
 class Tokens:
@@ -139,7 +143,7 @@ class _Part:
             yield ids, aimed, Tokens(batch.column(1), self.plan.bits)
 
 
-_SENT = "range int, part int, keys binary, every binary, aimed binary, n_every long, n_aimed long"
+_SENT = "range int, part int, blob binary, n_every long, n_aimed long"
 
 
 def _send(rows: pa.Table, plan: Plan) -> pa.Table:
@@ -156,38 +160,44 @@ def _send(rows: pa.Table, plan: Plan) -> pa.Table:
             total.append(new)
         n = [n[0] + int(tokens.count.sum()), n[1] + int(tokens.count[goal].sum())]
     key, counts = _summed(np.concatenate(keys), [np.concatenate(every), np.concatenate(aimed)])
-    at = bucket_bounds(key << U(64 - plan.bits), plan.ranges)
-    cut = lambda values, how: pa.array([how(values[x:y]) for x, y in zip(at[:-1].tolist(), at[1:].tolist())], pa.binary())
-    size = plan.ranges
-    return pa.table(
-        [pa.array(np.arange(size), pa.int32()), pa.array([part] * size, pa.int32()), cut(key, squeeze_sorted), *(cut(c, squeeze) for c in counts), *(pa.array([x] * size, pa.int64()) for x in n)],
-        ["range", "part", "keys", "every", "aimed", "n_every", "n_aimed"],
-    )
+    at = bucket_bounds(key << U(64 - plan.bits), plan.ranges * plan.fine).tolist()
+    pieces = [_piece(key[x:y], *(c[x:y] for c in counts)) for x, y in zip(at[:-1], at[1:])]
+    blobs, size = [framed(pieces[r * plan.fine : (r + 1) * plan.fine]) for r in range(plan.ranges)], plan.ranges
+    return pa.table([pa.array(np.arange(size), pa.int32()), pa.array([part] * size, pa.int32()), pa.array(blobs, pa.binary()), *(pa.array([x] * size, pa.int64()) for x in n)], ["range", "part", "blob", "n_every", "n_aimed"])
 
 
-_ANSWER = "part int, range int, keys binary, every binary, aimed binary, n_words long, n_every long, n_aimed long"
+def _piece(keys: np.ndarray, every: np.ndarray, aimed: np.ndarray) -> bytes:
+    return framed([squeeze_sorted(keys), squeeze(every), squeeze(aimed)]) if len(keys) else b""
+
+
+def _counts(pieces: Iterable[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys and both counts of the pieces, behind each other."""
+    read = [unframed(p) for p in pieces if p]
+    return tuple(np.concatenate([np.zeros(0, U), *(how(p[i]) for p in read)]) for i, how in enumerate((unsqueeze_sorted, unsqueeze, unsqueeze)))
+
+
+_ANSWER = "part int, range int, blob binary, n_words long, n_every long, n_aimed long"
 
 
 def _answer(rows: pa.Table) -> pa.Table:
     """To each part: the corpus's counts of those of its keys that occur more than once, the range's distinct words, and all totals."""
-    read = lambda name, how: [how(x.as_py()) for x in rows.column(name)]
-    asked = read("keys", unsqueeze_sorted)
-    key, (every, aimed) = _summed(np.concatenate(asked), [np.concatenate(read(c, unsqueeze)) for c in ("every", "aimed")])
-    n_words = int(((key & U(3)) == U(WORD)).sum())
-    more = every > 1
-    key, every, aimed = key[more], every[more], aimed[more]
-    blobs: tuple[list, list, list] = [], [], []
-    for mine in asked:
-        at = np.minimum(np.searchsorted(key, mine), max(0, len(key) - 1))
-        at = at[key[at] == mine] if len(key) else at[:0]
-        for out, blob in zip(blobs, (squeeze_sorted(key[at]), squeeze(every[at]), squeeze(aimed[at]))):
-            out.append(blob)
+    sent = [unframed(x.as_py()) for x in rows.column("blob")]
+    out: list[list[bytes]] = [[] for _ in sent]
+    n_words = 0
+    for pieces in zip(*sent):
+        asked = [_counts([p]) for p in pieces]
+        key, every, aimed = (np.concatenate(c) for c in zip(*asked))
+        key, (every, aimed) = _summed(key, [every, aimed])
+        n_words += int(((key & U(3)) == U(WORD)).sum())
+        more = every > 1
+        key, every, aimed = key[more], every[more], aimed[more]
+        for answer, (mine, _, _) in zip(out, asked):
+            at = _place(key, mine)
+            at = at[at < len(key)]
+            answer.append(_piece(key[at], every[at], aimed[at]))
     totals = [sum(rows.column(c).to_pylist()) for c in ("n_every", "n_aimed")]
     size = rows.num_rows
-    return pa.table(
-        [rows.column("part"), rows.column("range"), *(pa.array(b, pa.binary()) for b in blobs), *(pa.array([x] * size, pa.int64()) for x in (n_words, *totals))],
-        ["part", "range", "keys", "every", "aimed", "n_words", "n_every", "n_aimed"],
-    )
+    return pa.table([rows.column("part"), rows.column("range"), pa.array(map(framed, out), pa.binary()), *(pa.array([x] * size, pa.int64()) for x in (n_words, *totals))], ["part", "range", "blob", "n_words", "n_every", "n_aimed"])
 
 
 def _losses(word: np.ndarray, context: np.ndarray, pair: np.ndarray, whole: np.ndarray, scale: float, vocabulary: int) -> np.ndarray:
@@ -202,9 +212,8 @@ _SCORED = "doc_id long, n_tokens long, loss_target double, loss_background doubl
 
 def _score(rows: pa.Table, answers: pa.Table, plan: Plan) -> pa.Table:
     answers = answers.sort_by("range")
-    read = lambda name, how: np.concatenate([np.zeros(0, U), *(how(x.as_py()) for x in answers.column(name))])
-    key = read("keys", unsqueeze_sorted)
-    counts = [np.append(read(c, unsqueeze), U(0)).astype(np.float64) for c in ("every", "aimed")]
+    key, *counts = _counts(p for x in answers.column("blob") for p in unframed(x.as_py()))
+    counts = [np.append(c, U(0)).astype(np.float64) for c in counts]
     vocabulary = max(1 << WORD_BITS, sum(answers.column("n_words").to_pylist()))
     n_every, n_aimed = (answers.column(c)[0].as_py() if answers.num_rows else 0 for c in ("n_every", "n_aimed"))
     scales = (n_aimed / n_every if n_aimed and n_every else 1.0, 1.0)
