@@ -41,3 +41,22 @@ def test_odd_texts(spark, tmp_path):
     assert none == {i for i, t in enumerate([*ODD, "12 34 !!", "x"]) if not any(c.isalpha() for c in t or "")}
     assert op2_language_id(spark, save(df.limit(0), tmp_path)).count() == 0
     assert Profiles({}).predict("words") == ("und", 0.0)
+
+
+def test_profiles_equal_counting_in_plain_python(spark, sf):
+    """Profiles of all labelled documents, from n-grams cut out of strings."""
+    from collections import Counter
+
+    docs = documents(sf)
+    lists = {}
+    for lang, rows in docs[docs.doc_id.map(lambda i: zlib.crc32(str(i).encode()) % 3 != 1)].groupby("lang"):
+        counts = Counter()
+        for text in rows.text:
+            s = " " + " ".join("".join(c.lower() if c.isalpha() else " " for c in text).split()) + " "
+            counts.update(c for c in s if c != " ")
+            counts.update(s[k : k + n] for n in (2, 3) for k in range(len(s) - n + 1))
+        code = lambda g: sum(ord(c) << 21 * (len(g) - 1 - k) for k, c in enumerate(g))
+        lists[lang] = [code(g) for g, _ in sorted(counts.items(), key=lambda x: (-x[1], code(x[0])))][:400]
+    profiles = learn(spark.read.parquet(f"{sf}/documents.parquet").filter(~held_out(F.col("doc_id"))))
+    want = Profiles(lists)
+    assert profiles.langs == want.langs and (profiles.codes == want.codes).all() and (profiles.ranks == want.ranks).all()

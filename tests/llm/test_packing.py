@@ -66,3 +66,44 @@ def test_open_bins_stay_bounded_and_the_fullest_closes():
     assert [fit.place(n) for n in (6, 7, 4)] == [(0, 0), (1, 0), (0, 6)]
     fit.place(6), fit.place(8)
     assert fit.open == 2 and fit.place(2) == (1, 7)  # bin 3, with 2 free, closed at once
+
+
+class Plain:
+    """Best fit over a list of open bins, as free space and number, the last opened or used one at its end."""
+
+    def __init__(self, capacity, most):
+        self.capacity, self.most, self.open, self.next = capacity, most, [], 0
+
+    def _out(self, free):
+        at = max(k for k, (f, _) in enumerate(self.open) if f == free)
+        return self.open.pop(at)
+
+    def place(self, length):
+        fitting = [f for f, _ in self.open if f >= length]
+        if fitting:
+            free, number = self._out(min(fitting))
+        else:
+            free, number = self.capacity, self.next
+            self.next += 1
+        left = free - length
+        if left and len(self.open) >= self.most:  # the fullest of all, this one among them, is open no longer
+            fullest = min((f for f, _ in self.open), default=left + 1)
+            if fullest > left:
+                return number, self.capacity - free
+            self._out(fullest)
+        if left:
+            self.open.append((left, number))
+        return number, self.capacity - free
+
+
+def test_random_lengths_go_where_a_plain_search_puts_them():
+    import random
+
+    rng = random.Random(7)
+    for _ in range(200):
+        capacity, most = rng.choice([(10, 3), (64, 8), (4096, 40), (17, 1)])
+        fit, plain = BestFit(capacity, most), Plain(capacity, most)
+        for _ in range(300):
+            length = min(capacity, max(1, int(rng.expovariate(3 / capacity))))
+            assert fit.place(length) == plain.place(length)
+        assert fit.open == len(plain.open) <= most

@@ -84,3 +84,66 @@ def test_adjacent_ibans_and_all_countries():
         assert found[-1] == "GB82WEST12345698765432" and len(found) == text.count("DE89") + 1
     for iban in ("RO49AAAA1B31007593840000", "HU42117730161111101800000000", "GR1601101250000000012300695", "TR330006100519786457841326"):
         assert [iban] == [iban[a:b] for kind, a, b, _ in spans_of(iban) if kind == "iban"]
+
+
+def test_long_texts_give_what_a_plain_scan_gives():
+    for text in ("a" * 4000, "1" * 4000, "1." * 2000, "a@" * 2000, "+1" * 2000, "1.2.3.4 " * 500, "x@y.zz " * 600, "4111 1111 1111 1111, " * 200, "+49 30 123456; " * 300, "a.b@" * 700 + "c.de"):
+        assert [s[:3] for s in spans_of(text) if s[0] in ("email", "ip", "card", "phone")] == base(text), text[:20]
+
+
+def plain_ibans(text):
+    """From every place in turn: a country, two digits and what its length asks for, single spaces between; no letter or digit around."""
+    from inkmill.llm.pii import IBAN_LENGTH
+
+    out, i = [], 0
+    while i < len(text):
+        need = IBAN_LENGTH.get(text[i : i + 2], 0) if i == 0 or not (text[i - 1].isascii() and text[i - 1].isalnum()) else 0
+        have, k = "", i
+        while need and k < len(text) and len(have) < need:
+            if text[k] == " " and len(have) >= 4 and text[k - 1] != " ":
+                k += 1
+            elif text[k].isascii() and (text[k].isupper() or text[k].isdigit()):
+                have, k = have + text[k], k + 1
+            else:
+                break
+        if need and len(have) == need and have[2:4].isdigit() and not (k < len(text) and text[k].isalnum()) and mod97(have):
+            out.append((i, k))
+            i = k
+        else:
+            i += 1
+    return out
+
+
+def test_ibans_in_random_strings_are_those_of_a_scan_from_every_place():
+    from inkmill.llm.pii import IBAN_LENGTH
+
+    rng = random.Random(11)
+
+    def iban():
+        country = rng.choice(list(IBAN_LENGTH))
+        body = "".join(rng.choices("0123456789ABCXYZ", k=IBAN_LENGTH[country] - 4))
+        check = next(f"{c:02}" for c in range(2, 99) if mod97(f"{country}{c:02}{body}"))
+        whole = country + check + body
+        return " ".join(whole[k : k + 4] for k in range(0, len(whole), 4)) if rng.random() < 0.5 else whole
+
+    for text in ("NO93 8601 1117 947 DE89 3704 0044 0532 0130 00", "AB12 0000 0000 000 DE89370400440532013000"):
+        assert [(a, b) for k, a, b, _ in spans_of(text) if k == "iban"] == plain_ibans(text) != []
+    for _ in range(1500):
+        parts = [rng.choice([iban, lambda: "".join(rng.choices("AB12 D", k=rng.randrange(9))), lambda: rng.choice(["NO93", "DE", "x", ",", "  ", "DE89 3704"])])() for _ in range(rng.randrange(1, 6))]
+        text = rng.choice([" ", "", ", "]).join(parts)
+        assert [(a, b) for k, a, b, _ in spans_of(text) if k == "iban"] == plain_ibans(text), repr(text)
+
+
+def test_base_counts_equal_sql(spark):
+    import duckdb
+
+    sf = "/root/testdata/sf0.01"
+    digits = "regexp_replace(m, '[^0-9]', '', 'g')"
+    luhn_ = f"list_sum(list_transform(range(1, length({digits}) + 1), lambda i: case when i % 2 = 1 then {digits}[-i]::int else 2 * {digits}[-i]::int - 9 * ({digits}[-i]::int > 4)::int end)) % 10 = 0"
+    want = duckdb.sql(rf"""with t as (select doc_id, coalesce(text, '') as t from '{sf}/documents.parquet')
+    select doc_id, len(regexp_extract_all(t, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+')) as n_email,
+     len(list_filter(regexp_extract_all(t, '[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)'), lambda m: len(list_filter(string_split(m, '.'), lambda p: length(ltrim(p, '0')) > 3 or coalesce(try_cast(p as int), 0) > 255)) = 0)) as n_ip,
+     len(list_filter(regexp_extract_all(t, '[0-9](?:[\x20-]?[0-9])+'), lambda m: length({digits}) between 16 and 19 and {luhn_})) as n_card,
+     len(list_filter(regexp_extract_all(t, '\+[0-9][\x20().0-9-]+[0-9]'), lambda m: length({digits}) between 8 and 15)) as n_phone from t""").fetchall()
+    got = [(r.doc_id, r.n_email, r.n_ip, r.n_card, r.n_phone) for r in op3_pii(spark, sf).collect()]
+    assert sorted(got) == sorted(want) and all(sum(r[k] for r in got) > 5 for k in range(1, 5))
