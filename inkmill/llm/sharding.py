@@ -9,7 +9,7 @@ hash of their text, and only then by one of doc_id: equal texts stay in one shar
 off by more than `SLACK` of its size.
 
 The tree is built level by level over a narrow table (no text). All of a level's nodes are cut by a few aggregations: bytes by
-node, dimension and grid cell give the widest dimension and the median's cell; bytes by 16 bits of the text's hash give the
+node, dimension and grid cell give the widest dimension and the median's cell; bytes by 11 bits of the text's hash give the
 place in that cell, and further digits follow only where that is off by more than the slack. Groups are numbers of bounded
 size whatever the rows, so neither a sort of rows nor a hot value in one task is needed. A level's cuts are a table of one row
 a node that rows are joined with; nothing that grows with the leaves reaches the driver or becomes an expression.
@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from inkmill.llm.common import saved, sized_for_join, split_count, table
+from inkmill.llm.common import BROADCAST_ROWS, saved, sized_for_join, split_count, table
 
 SHARDS = 24
 #: Cells of a dimension, and slots that values are dealt to before their bytes are known.
@@ -37,7 +37,7 @@ SLOT_ROWS = 20_000
 OVERHEAD = 8
 DIMS = ("size", "source", "lang")
 #: Bits of the text's hash in a row's place, and of each digit that a cut is searched by.
-TEXT_BITS, DIGIT = 32, 16
+TEXT_BITS, DIGIT = 33, 11
 
 
 def _slot(docs: DataFrame, name: str) -> Column:
@@ -102,20 +102,25 @@ def _medians(rows: DataFrame) -> DataFrame:
     return cells.filter((F.col("below") <= goal) & (goal < F.col("below") + F.col("w"))).select("first", "dim", "cell", (goal - F.col("below")).alias("goal"))
 
 
-def _cuts(rows: DataFrame, medians: DataFrame, slack: float) -> DataFrame:
+def _by_node(rows: DataFrame, nodes: DataFrame, shards: int, how: str = "inner") -> DataFrame:
+    """Rows with what a table of at most `shards` nodes says of theirs."""
+    return rows.join(F.broadcast(nodes) if shards <= BROADCAST_ROWS else nodes.hint("merge"), "first", how)
+
+
+def _cuts(rows: DataFrame, medians: DataFrame, shards: int, slack: float) -> DataFrame:
     """first, dim, key, doc: rows of a node whose place is below key, or at key with doc_bits below doc, go left."""
     medians = saved(medians)
     key = F.shiftleft(F.col("cell").cast("long"), TEXT_BITS)
     # the open interval of places that the cut is in, as its lower end and the bits below it
     open_ = medians.select("first", "dim", key.alias("key"), F.lit(0).alias("doc"), "goal", F.lit(True).alias("pending"))
     done = None
-    for low, digit in ((TEXT_BITS - DIGIT, "place"), (0, "place"), (0, "doc_bits")):
+    for low, digit in (*((low, "place") for low in range(TEXT_BITS - DIGIT, -1, -DIGIT)), (0, "doc_bits")):
         if digit == "place":
             inside = F.shiftright("place", low + DIGIT) == F.shiftright("key", low + DIGIT)
             at = F.shiftright("place", low).bitwiseAND(F.lit((1 << DIGIT) - 1))
         else:
             inside, at = F.col("place") == F.col("key"), F.col("doc_bits")
-        met = rows.join(sized_for_join(open_.drop("pending")), "first").withColumn("place", F.shiftleft(_cell().cast("long"), TEXT_BITS) + F.col("text_bits"))
+        met = _by_node(rows, open_.drop("pending"), shards).withColumn("place", F.shiftleft(_cell().cast("long"), TEXT_BITS) + F.col("text_bits"))
         weights = met.filter(inside).groupBy("first", "dim", "key", "goal", at.alias("at")).agg(F.sum("size").alias("w"))
         below = F.sum("w").over(Window.partitionBy("first").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)) - F.col("w")
         hit = weights.withColumn("below", below).filter((F.col("below") <= F.col("goal")) & (F.col("goal") < F.col("below") + F.col("w")))
@@ -134,9 +139,9 @@ def _cuts(rows: DataFrame, medians: DataFrame, slack: float) -> DataFrame:
     return done
 
 
-def _descended(rows: DataFrame, cuts: DataFrame) -> DataFrame:
+def _descended(rows: DataFrame, cuts: DataFrame, shards: int) -> DataFrame:
     """Rows with the node they fall into at the next level."""
-    met = rows.join(sized_for_join(cuts), "first", "left")
+    met = _by_node(rows, cuts, shards, "left")
     place = F.shiftleft(_cell().cast("long"), TEXT_BITS) + F.col("text_bits")
     right = (place > F.col("key")) | ((place == F.col("key")) & (F.col("doc_bits") >= F.col("doc")))
     left = F.floor(F.col("leaves") / 2)
@@ -147,12 +152,12 @@ def _descended(rows: DataFrame, cuts: DataFrame) -> DataFrame:
 
 def grow(rows: DataFrame, shards: int, slack: float) -> tuple[DataFrame, list[DataFrame]]:
     """Rows with their shard, and each level's cuts."""
-    rows, levels = rows.withColumns({"first": F.lit(0), "leaves": F.lit(shards)}), []
+    rows, levels = saved(rows.withColumns({"first": F.lit(0), "leaves": F.lit(shards)})), []
     for _ in range((shards - 1).bit_length()):
         live = rows.filter("leaves > 1")
-        cuts = saved(_cuts(live, _medians(live), slack))
+        cuts = _cuts(live, _medians(live), shards, slack)
         levels.append(cuts)
-        rows = _descended(rows, cuts)
+        rows = _descended(rows, cuts, shards)
     return rows.withColumnRenamed("first", "shard").drop("leaves"), levels
 
 
@@ -161,12 +166,12 @@ def shard(docs: DataFrame, shards: int = SHARDS, text: str = "text", target_byte
 
     With target_bytes, nodes split until leaves have about that many bytes; else there are `shards` leaves.
     """
-    rows = saved(placed(saved(together(saved(narrow(docs, text))))))
+    rows = saved(narrow(docs, text))
     sums = rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("size"), F.lit(0)).alias("b")).first()
     total, size = int(sums["n"]), int(sums["b"])
     if target_bytes:
         shards = split_count(size, target_bytes)
-    dealt, _ = grow(rows, shards, SLACK * size / shards)
+    dealt, _ = grow(placed(saved(together(rows))), shards, SLACK * size / shards)
     groups = split_count(total, shards * SLOT_ROWS)
     dealt = dealt.select("doc_id", "size", "text_crc32", "text_hash", "shard", F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(groups)).cast("int").alias("part"))
     counts = dealt.groupBy("shard", "part").agg(F.count(F.lit(1)).alias("n"))
