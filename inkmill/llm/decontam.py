@@ -47,15 +47,15 @@ UNITS = ("kg", "g", "mg", "km", "m", "cm", "mm", "ml", "l", "s", "ms", "min", "h
 
 def marked(text: Column) -> Column:
     """Text without punctuation, each name preceded by its mark; words keep their case and place."""
-    named = F.regexp_replace(text, r"(?<=[\p{Ll},;] )(?=\p{Lu}\p{L})", NAME)
-    return F.regexp_replace(named, rf"[^\p{{L}}\p{{N}}{NAME}\x20\x09-\x0D]+", "")
+    named = F.regexp_replace(text, r" (?<=[\p{Ll},;] )(?=\p{Lu}\p{L})", f" {NAME}")  # what is rare stands first
+    return F.regexp_replace(named, rf"[^a-zA-Z0-9\x20\x09-\x0D\p{{L}}\p{{N}}{NAME}]+", "")
 
 
 def template(plain: Column) -> Column:
     """Placeholders for names, numbers and units in a marked text; lower case."""
     out = F.regexp_replace(plain, rf"{NAME}\p{{L}}+", NAME)
     out = F.lower(F.regexp_replace(out, "[0-9]+", NUM))
-    return F.regexp_replace(out, rf"(?<={NUM}[ ]?)(?:{'|'.join(UNITS)})(?![\p{{L}}\p{{N}}])", UNIT)
+    return F.regexp_replace(out, rf"({NUM} ?)(?:{'|'.join(UNITS)})(?![\p{{L}}\p{{N}}])", f"$1{UNIT}")
 
 
 def _list(text: Column) -> Column:
