@@ -13,6 +13,8 @@ TABLE_LABEL = "Tabla: "
 TOPIC_MARK, TABLE_START, CAPTION_MARKERS = "##", "|", ("Table",)
 THINKING = r"(?s)<think>.*?</think>\n*"
 QUESTION_LINE, ANSWER_LINE = r"\**Q:*\**\s+.+", r"\**A:*\**\s+.+"
+# Characters with the property White_Space.
+WHITE_SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 MARKDOWN, YAML, CSV = ".md", ".yaml", ".csv"
 DOCUMENTS = (".pdf", ".docx")
 
@@ -22,8 +24,8 @@ def normalize_newlines(text: Column) -> Column:
 
 
 def strip(text: Column) -> Column:
-    """Unicode white space off both ends."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+\z", "")
+    """Unicode white space off both ends, looking at these only."""
+    return F.trim(text, F.lit(WHITE_SPACE))
 
 
 def remove_figure_captions(text: Column) -> Column:
