@@ -1,6 +1,12 @@
 """From raw documents to packed training sequences, stage by stage.
 
 Each stage takes the documents its predecessor kept. Near duplicates are judged on five-word shingles at a similarity of 0.8.
+
+Defined results: documents with null, empty or short text go in the first stage, by its rule of 50 words; very long texts are
+judged, compared, searched and cut whole, and give as many pieces as they fill; rows that repeat a doc_id are one document to
+near-dedup and stay together or go together, a repeated text under another id goes, the smallest id stays; rows with a null
+doc_id are judged like others by every stage and never dropped as copies; an empty table gives empty tables. Columns beside those
+of documents, whatever their names, are carried along up to the last stage, which returns pieces.
 """
 
 from __future__ import annotations
