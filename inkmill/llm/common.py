@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkmill.plans.scratch import saved
+from inkmill.plans.scratch import dropped, saved
 
-__all__ = ["WORD", "WS", "let", "measure", "saved", "sized_for_join", "split_count", "table"]
+__all__ = ["WORD", "WS", "dropped", "let", "measure", "saved", "sized_for_join", "split_count", "table"]
 
 #: ASCII white space; a word is a maximal run of anything else.
 WS = r"[\x20\x09-\x0D]+"

@@ -3,15 +3,22 @@
 Sets of hashed shingles that are equal collapse to one representative first, so copies cost one narrow row each. Then
 independent trees branch the representatives: a node's path names the next minwise token to branch on (out of a pool that
 every document computes once), and documents with the same token value fall into the same child. The nodes after three steps
-are leaves, whatever their size. Leaves are chained into candidate groups, and each group is compared exhaustively on full sets: pairs already in one component are skipped, pairs whose minwise
-agreement rules them out too, all others are confirmed by exact intersection. With the default pool and 16 trees, a pair at
-similarity 0.85 shares a leaf with probability above 0.9999, one at 0.8 above 0.999, however many documents are like them.
+are leaves, whatever their size. Leaves are chained into candidate groups, and each group is compared exhaustively on full
+sets: pairs already in one component are skipped, pairs whose minwise agreement rules them out too, all others are confirmed by
+exact intersection. Every leaf has three steps, so with the default pool and 16 trees a pair at similarity 0.85 shares a leaf
+with probability above 0.9999, one at 0.8 above 0.999, however many documents are like them; a test measures both on texts
+that share most of a template.
 
-Groups beyond `GROUP_MAX` representatives or `GROUP_SHINGLES` shingles are compared leaf by leaf instead, large leaves as
-all pairs of their chunks, and the confirmed links joined to components; nothing is left out for its size.
+A group is compared in blocks of bounded size: one if it has at most `BLOCK` representatives and `BLOCK_SHINGLES` shingles, else
+it is dealt to chunks of half that and every pair of chunks is a block, so that no task holds a large group. Groups beyond
+`GROUP_MAX` or `GROUP_SHINGLES`, which only chains of many leaves make, are compared leaf by leaf in such blocks. Confirmed
+links of blocks are joined to components; nothing is left out for its size.
+
+Components of few links are found in one task, behind a count of them; more links go through rounds of alternating stars, whose
+hubs are aggregated and whose joins Spark splits where they are skewed, until few are left.
 
 Defined results: a null or blank text has an empty set and is linked with nothing; with fewer words than a shingle the whole
-sequence is the one shingle; rows of one doc_id are one document; a null doc_id has a null component and is kept; an empty
+sequence is the one shingle; very long texts are compared whole; rows of one doc_id are one document; a null doc_id has a null component and is kept; an empty
 table gives an empty result; other columns are ignored by `components` and kept by `drop_near_duplicates`.
 """
 
@@ -24,12 +31,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkmill.llm.common import saved, sized_for_join, table
+from inkmill.llm.common import dropped, saved, sized_for_join, table
 from inkmill.llm.hashing import Rolling, U, Words, mix, sliced, window_starts
 
 SHINGLE, SIMILARITY = 5, 0.8
 POOL, TREES, FIRST_TREES, STEPS = 32, 16, 4, 3
+#: Bytes of text whose shingles are hashed in one step.
+SLICE = 2 << 20
+#: What is compared in one block, and in one group before it is taken leaf by leaf.
+BLOCK, BLOCK_SHINGLES = 2000, 2 << 20
 GROUP_MAX, GROUP_SHINGLES = 20_000, 16 << 20
+#: Links whose components one task finds: 16 bytes each.
+FEW_LINKS = 1 << 20
 #: Minwise agreement below which a pair isn't confirmed; over 64 tokens six standard deviations under the least threshold in use.
 AGREE, TOKENS = 0.5, 64
 _FACTORS = mix(np.arange(1, 65, dtype=U) * U(0x9E3779B97F4A7C15)) | U(1)
@@ -91,7 +104,7 @@ def signatures(docs: DataFrame, shingle: int = SHINGLE, text: str = "text") -> D
     """doc_id, n (distinct shingles), a 128-bit fingerprint of the set, and its leaf in each tree."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (s for b in batches for s in sliced(b, 1)):
+        for batch in (s for b in batches for s in sliced(b, 1, SLICE)):
             sets = Sets(batch.column(1), shingle)
             whole = [np.zeros(batch.num_rows, np.int64) for _ in range(2)]
             for w, salt in zip(whole, (0, 0xA0761D6478BD642F)):
@@ -134,20 +147,42 @@ def candidate_groups(reps: DataFrame) -> DataFrame:
 
 
 def connected(links: DataFrame) -> DataFrame:
-    """(node, root) for every node of the links (a < b), root the smallest node reachable: alternating stars until only stars are left."""
+    """(node, root) for every node of the links (a < b), root the smallest node reachable: alternating stars until few links or only stars are left."""
     edges = saved(links.select("a", "b").distinct())
-    while not _stars(edges):
+    while True:
+        if edges.count() <= FEW_LINKS:
+            return edges.coalesce(1).mapInArrow(_spanned, "node long, root long")
+        if _stars(edges):
+            break
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = both.join(least, "a").filter("b > a AND m < b").select(F.col("m").alias("a"), "b")
         low = large.groupBy("b").agg(F.min("a").alias("m"))
         joined = large.join(low, "b")
         small = joined.filter("a > m").select(F.col("m").alias("a"), F.col("a").alias("b")).union(low.select(F.col("m").alias("a"), "b"))
-        edges = saved(small.filter("a < b").distinct())
+        less = saved(small.filter("a < b").distinct())
+        dropped(edges)
+        edges = less
     roots = edges.select(F.col("a").alias("node"), F.col("a").alias("root")).union(edges.select(F.col("b").alias("node"), F.col("a").alias("root")))
     return roots.groupBy("node").agg(F.min("root").alias("root"))
 
 
+def _spanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, root) of a bounded number of links, by taking the smaller root over each link until none differ."""
+    rows = pa.Table.from_batches(list(batches), schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+    nodes, at = np.unique(np.concatenate([rows.column(c).to_numpy() for c in "ab"]), return_inverse=True)
+    a, b = at[: rows.num_rows], at[rows.num_rows :]
+    root = np.arange(len(nodes))
+    while len(a):
+        x, y = root[a], root[b]
+        apart = x != y
+        a, b = a[apart], b[apart]
+        np.minimum.at(root, np.maximum(x, y)[apart], np.minimum(x, y)[apart])
+        while not np.array_equal(root[root], root):
+            root = root[root]
+    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(nodes[root], pa.int64())], ["node", "root"])
+
+
 def _stars(edges: DataFrame) -> bool:
     """Whether every larger end has one smaller end, and no node is both."""
     ends = edges.select(F.col("a").alias("node"), F.lit(0).alias("up")).union(edges.select(F.col("b").alias("node"), F.lit(1).alias("up")))
@@ -183,7 +218,7 @@ def _confirm(ids: np.ndarray, texts: pa.Array, shingle: int, percent: int) -> tu
     return out, links
 
 
-def components(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY, text: str = "text", group_max: int = GROUP_MAX, group_shingles: int = GROUP_SHINGLES) -> DataFrame:
+def components(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY, text: str = "text", block: int = BLOCK, group_max: int = GROUP_MAX) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable) and kept, one row per row of docs."""
     percent = round(100 * similarity)
     sigs = saved(signatures(docs, shingle, text))
@@ -191,8 +226,10 @@ def components(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMI
     reps = saved(live.groupBy("fp1", "fp2", "n").agg(F.min("doc_id").alias("rep"), F.first("nodes").alias("nodes")))
     sized = saved(candidate_groups(reps).join(reps.select("rep", "n"), "rep"))
     sizes = sized.groupBy("root").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("shingles"))
-    small = (F.col("docs") <= group_max) & (F.col("shingles") <= group_shingles)
-    marked = sized.join(sizes.select("root", small.alias("small")), "root").select("rep", "root", "small")
+    fits = lambda docs, shingles: (F.col("docs") <= docs) & (F.col("shingles") <= shingles)
+    kind = F.when(fits(block, BLOCK_SHINGLES), "block").when(fits(group_max, GROUP_SHINGLES), "group").otherwise("leaves")
+    kinds = saved(sizes.select("root", kind.alias("kind")))
+    marked = sized.join(sized_for_join(kinds), "root").select("rep", "n", "root", "kind")
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
     def confirm(rows: pa.Table) -> pa.Table:
@@ -201,11 +238,12 @@ def components(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMI
         found, _ = _confirm(rows.column("rep").to_numpy(), body.chunk(0), shingle, percent)
         return pa.table({"rep": rows.column("rep"), "component": pa.array(found)})
 
-    members = texts.join(sized_for_join(marked.filter("small").select("rep", "root")), "rep")
+    members = texts.join(sized_for_join(marked.filter("kind = 'block'").select("rep", "root")), "rep")
     found = members.groupBy("root").applyInArrow(confirm, "rep long, component long")
-    giants = marked.filter("NOT small").select("rep")
-    if not giants.isEmpty():
-        found = found.union(_giants(reps.join(giants, "rep"), texts, shingle, percent, group_max, group_shingles))
+    if not kinds.filter("kind <> 'block'").isEmpty():
+        whole = marked.filter("kind = 'group'").select("rep", "n", F.lit(-1).alias("at"), F.col("root").alias("node"))
+        leaves = reps.join(marked.filter("kind = 'leaves'").select("rep"), "rep").select("rep", "n", F.posexplode("nodes").alias("at", "node"))
+        found = found.union(_in_blocks(whole.union(leaves), texts, shingle, percent, block))
     found = found.groupBy("rep").agg(F.min("component").alias("component"))
     by_set = reps.select("fp1", "fp2", "n", "rep").join(found, "rep", "left").select("fp1", "fp2", "n", F.coalesce("component", "rep").alias("component"))
     out = sigs.select("doc_id", "n", "fp1", "fp2").join(by_set, ["fp1", "fp2", "n"], "left")
@@ -213,15 +251,14 @@ def components(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMI
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
-def _giants(reps: DataFrame, texts: DataFrame, shingle: int, percent: int, chunk: int, shingles: int) -> DataFrame:
-    """Components of groups too large for one task: leaf by leaf, and a large leaf in chunks, each pair of them a block.
+def _in_blocks(cells: DataFrame, texts: DataFrame, shingle: int, percent: int, block: int) -> DataFrame:
+    """Components of the members (rep, n) of cells (at, node): every pair of a cell's chunks is a block, every pair of a cell meets in one.
 
-    Every pair of a leaf meets in a block, so the work on a leaf grows with the square of its chunks.
+    The work on a cell grows with the square of its chunks.
     """
-    leaves = reps.select("rep", "n", F.posexplode("nodes").alias("at", "node"))
-    sizes = leaves.groupBy("at", "node").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("s")).filter("c > 1")
-    parts = F.greatest(F.ceil(F.col("c") / F.lit(max(2, chunk // 4))), F.ceil(F.col("s") / F.lit(max(2, shingles // 4)))).cast("int")
-    met = leaves.join(sizes, ["at", "node"]).select("at", "node", "rep", parts.alias("parts"), F.pmod(F.xxhash64("rep", "at"), parts).cast("int").alias("mine"))
+    sizes = cells.groupBy("at", "node").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("s")).filter("c > 1")
+    parts = F.greatest(F.ceil(F.col("c") / F.lit(max(2, block // 2))), F.ceil(F.col("s") / F.lit(BLOCK_SHINGLES // 2))).cast("int")
+    met = cells.join(sizes, ["at", "node"]).select("at", "node", "rep", parts.alias("parts"), F.pmod(F.xxhash64("rep", "at"), parts).cast("int").alias("mine"))
     others = F.filter(F.sequence(F.lit(0), F.col("parts") - 1), lambda x: (x != F.col("mine")) | (F.col("parts") == 1))
     blocks = met.select("at", "node", "rep", "mine", F.explode(others).alias("other"))
     dealt = blocks.select("at", "node", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "rep").join(texts, "rep")

@@ -4,7 +4,8 @@ import random
 
 from helpers import ODD, WORDS, documents, frame, save
 
-from inkmill.llm.neardup import components, drop_near_duplicates, op5_near_duplicates
+from inkmill.llm import neardup
+from inkmill.llm.neardup import components, connected, drop_near_duplicates, op5_near_duplicates
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -67,7 +68,8 @@ def test_borderline_families_and_giant_groups(spark):
     want = brute(dict(enumerate(texts)))
     df = frame(spark, texts)
     assert got(components(df, 3, 0.85)) == want
-    assert got(components(df, 3, 0.85, group_max=5)) == want
+    assert got(components(df, 3, 0.85, block=4)) == want
+    assert got(components(df, 3, 0.85, block=4, group_max=5)) == want
 
 
 def test_odd_texts(spark, tmp_path):
@@ -101,4 +103,57 @@ def test_every_pair_of_a_large_leaf_is_compared(spark):
     texts = []
     for i, at in enumerate(a + d for a in range(0, 365, 13) for d in (0, 4)):
         texts.append(" ".join("d%dx%d" % (i, k) if at <= k < at + 22 else f"w{k}" for k in range(400)))
-    assert got(components(frame(spark, texts), 3, 0.85, group_max=8)) == brute(dict(enumerate(texts)))
+    for group_max in (8, 1000):
+        assert got(components(frame(spark, texts), 3, 0.85, block=8, group_max=group_max)) == brute(dict(enumerate(texts)))
+
+
+def template_pairs(rng, pairs, size, similarity):
+    """Distinct texts that share most of one template, and pairs among them just at the similarity: its words differ in runs."""
+    template = [f"t{i}" for i in range(900)]
+    out = []
+    for p in range(pairs):
+        body = list(template)
+        for at in range(0, 900, 30):  # unlike the template, and so unlike any other pair, at a third of the shingles
+            body[at : at + 8] = [f"p{p}x{at + k}" for k in range(8)]
+        n = 900 - size + 1
+        differ = int(n * (1 - similarity) / (1 + similarity))  # shingles that either of the two lacks
+        twin = list(body)
+        at = rng.randrange(100)
+        run = differ - size + 1
+        twin[at : at + run] = [f"q{p}y{k}" for k in range(run)]
+        out += [" ".join(body), " ".join(twin)]
+    return out
+
+
+def test_recall_on_a_template_heavy_corpus(spark):
+    """Pairs at a similarity just over the threshold, none linked to others: at least 0.99 of them are found, for both thresholds in use."""
+    rng = random.Random(29)
+    for size, similarity in ((3, 0.85), (5, 0.8)):
+        texts = template_pairs(rng, 400, size, similarity)
+        want = brute(dict(enumerate(texts)), size, round(100 * similarity))
+        linked = [i for i, (_, root, _) in want.items() if root != i]
+        rows = got(components(frame(spark, texts), size, similarity))
+        assert len(linked) == 400 and sum(rows[i][1] == want[i][1] for i in linked) >= 0.99 * len(linked)
+        assert all(rows[i][2] for i in want if want[i][2])
+
+
+def test_components_of_many_links(spark, monkeypatch):
+    """Stars, chains and hubs, found in one task or in rounds of stars alike."""
+    rng = random.Random(31)
+    links = {(0, i) for i in range(1, 300)} | {(1000 + i, 1001 + i) for i in range(200)} | {tuple(sorted(rng.sample(range(5000, 6000), 2))) for _ in range(900)}
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        low, high = sorted((find(a), find(b)))
+        root[high] = low
+    want = {n: find(n) for n in list(root)}
+    df = spark.createDataFrame(sorted(links), "a long, b long")
+    for few in (1 << 20, 0, 400):
+        monkeypatch.setattr(neardup, "FEW_LINKS", few)
+        assert {r.node: r.root for r in connected(df).collect()} == want
+    assert connected(df.limit(0)).count() == 0
