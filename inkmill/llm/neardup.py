@@ -45,6 +45,8 @@ GROUP_MAX, GROUP_SHINGLES = 20_000, 16 << 20
 FEW_LINKS = 1 << 20
 #: Minwise agreement below which a pair isn't confirmed; over 64 tokens six standard deviations under the least threshold in use.
 AGREE, TOKENS = 0.5, 64
+#: Sets that one set is intersected with at a time.
+TOGETHER = 64
 _FACTORS = mix(np.arange(1, 65, dtype=U) * U(0x9E3779B97F4A7C15)) | U(1)
 
 
@@ -71,9 +73,6 @@ class Sets:
         self.first = np.concatenate(([0], np.cumsum(self.count)))[:-1].astype(np.int64) if len(texts) else np.zeros(0, np.int64)
         self.filled = np.flatnonzero(self.count)
 
-    def of(self, i: int) -> np.ndarray:
-        return self.keys[self.first[i] : self.first[i] + self.count[i]]
-
     def minwise(self, tokens: int) -> np.ndarray:
         """Minwise tokens of the non-empty sets, one row each."""
         out = np.zeros((len(self.filled), tokens), U)
@@ -199,20 +198,26 @@ def _confirm(ids: np.ndarray, texts: pa.Array, shingle: int, percent: int) -> tu
     tokens[sets.filled] = sets.minwise(TOKENS)
     tokens = (tokens >> U(32)).astype(np.uint32)  # 32 bits tell minima apart well enough to rule pairs out
     root, links = np.arange(m), []
+    names, codes = np.unique(sets.keys, return_inverse=True)
+    held = np.zeros(len(names), bool)
     for i in range(1, m):
         agree = (tokens[:i] == tokens[i]).mean(axis=1)
         small, large = np.minimum(sets.count[:i], sets.count[i]), np.maximum(sets.count[:i], sets.count[i])
         near = np.flatnonzero((agree >= AGREE) & (100 * small >= percent * large) & (small > 0))
-        mine = sets.of(i)
-        for j in near[np.argsort(-agree[near], kind="stable")].tolist():
-            if root[j] == root[i]:
-                continue
-            other = sets.of(j)
-            common = len(np.intersect1d(mine, other, assume_unique=True))
-            if 100 * common >= percent * (len(mine) + len(other) - common):
-                low, high = sorted((root[i], root[j]))
-                root[: i + 1][root[: i + 1] == high] = low
-                links.append((int(ids[j]), int(ids[i])))
+        mine = slice(sets.first[i], sets.first[i] + sets.count[i])
+        held[codes[mine]] = True
+        near = near[np.argsort(-agree[near], kind="stable")]
+        while len(near := near[root[near] != root[i]]):
+            some, near = near[:TOGETHER], near[TOGETHER:]
+            size = sets.count[some]
+            theirs = np.concatenate([codes[sets.first[j] : sets.first[j] + sets.count[j]] for j in some])
+            common = np.add.reduceat(held[theirs].astype(np.int64), np.cumsum(size) - size)
+            for j in some[100 * common >= percent * (sets.count[i] + size - common)].tolist():
+                if root[j] != root[i]:
+                    low, high = sorted((root[i], root[j]))
+                    root[: i + 1][root[: i + 1] == high] = low
+                    links.append((int(ids[j]), int(ids[i])))
+        held[codes[mine]] = False
     out = np.empty(m, np.int64)
     out[order] = ids[root]
     return out, links
@@ -261,7 +266,8 @@ def _in_blocks(cells: DataFrame, texts: DataFrame, shingle: int, percent: int, b
     met = cells.join(sizes, ["at", "node"]).select("at", "node", "rep", parts.alias("parts"), F.pmod(F.xxhash64("rep", "at"), parts).cast("int").alias("mine"))
     others = F.filter(F.sequence(F.lit(0), F.col("parts") - 1), lambda x: (x != F.col("mine")) | (F.col("parts") == 1))
     blocks = met.select("at", "node", "rep", "mine", F.explode(others).alias("other"))
-    dealt = blocks.select("at", "node", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "rep").join(texts, "rep")
+    blocks = saved(blocks.select("at", "node", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "rep"))
+    dealt = texts.join(sized_for_join(blocks), "rep")
 
     def confirm(rows: pa.Table) -> pa.Table:
         rows = rows.combine_chunks()
