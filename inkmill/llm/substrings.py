@@ -35,7 +35,7 @@ from inkmill.llm.hashing import Rolling, U, Words, bucket_bounds, framed, sliced
 
 WINDOW = 50
 #: Bytes of text in a task and in a slice of it, keys in a fine range and fine ranges in a range, and the most tasks and ranges.
-TASK_BYTES, SLICE, FINE_KEYS, FINE, MOST = 32 << 20, 8 << 20, 2 << 20, 4, 1 << 16
+TASK_BYTES, SLICE, FINE_KEYS, FINE, MOST = 32 << 20, 4 << 20, 2 << 20, 4, 1 << 16
 _BLOBS = "bucket int, part int, blob binary"
 _LAST = (1 << 63) - 1
 _SECOND = 0xC2B2AE3D27D4EB4F
