@@ -7,7 +7,7 @@ how far their ranks lie apart, with a fixed penalty for n-grams that the profile
 Profiles are learned from at most about `PER_LANGUAGE` labelled documents of each language, chosen by a hash of doc_id;
 predictions read whole texts and nothing else.
 
-Defined results: a null text or one without a letter is `und` with score 0, as is every text if nothing could be learned; ties
+Defined results: a very long text counts whole; a null text or one without a letter is `und` with score 0, as is every text if nothing could be learned; ties
 go to the language that sorts first; rows with a null doc_id are predicted but not learned from; repeated rows are each
 predicted; an empty table gives an empty result; other columns are ignored.
 """

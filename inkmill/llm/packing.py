@@ -4,8 +4,9 @@ Bounded-space online best fit. Each task keeps at most `open_bins` bins open in
 tightest bin that still fits" is one shift and one lowest-set-bit. When a bin must be opened beyond the bound, the fullest
 one closes first. Pieces reach a task in a fixed pseudo-random order and are placed longest first within each batch.
 
-Defined results: null and empty texts are one end token; every document row gives at least one piece; equal rows are packed
-each on its own; a null doc_id is kept as null; an empty table gives an empty result; other columns are ignored.
+Defined results: null and empty texts are one end token; every document row gives at least one piece, a very long text as many
+full ones as it fills; equal rows are packed each on its own; among bins with equal free space the last used takes a piece; a
+null doc_id is kept as null; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations

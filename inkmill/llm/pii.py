@@ -4,7 +4,10 @@ Base kinds (email, ip, card, phone) are always reported when their pattern and c
 own: `iban`, confirmed by mod-97, and `ssn`, which has no checksum and is reported only if words nearby speak for it. Every
 pattern is written so that one scan is linear in the text, also for long runs of digits or of address characters.
 
-Defined results: a null or empty text has no spans; a null doc_id is kept as null; repeated rows are each reported; other
+The search for IBANs goes on at the end of one found, or one character on, so that neighbours don't hide each other.
+
+Defined results: a null or empty text has no spans; a very long text is searched whole; of overlapping spans of different kinds
+all are reported; a null doc_id is kept as null; repeated rows are each reported; an empty table gives an empty result; other
 columns are ignored by `find_pii` and kept by `redact`.
 """
 

@@ -29,7 +29,7 @@ from inkmill.llm.common import BROADCAST_ROWS, saved, sized_for_join, split_coun
 
 SHARDS = 24
 #: Cells of a dimension, and slots that values are dealt to before their bytes are known.
-GRID, SLOTS = 2048, 1 << 16
+GRID, SLOTS = 2048, 1 << 12
 #: Share of a shard's bytes that a cut may be off by to keep equal texts together.
 SLACK = 1 / 64
 #: Rows of a shard that are numbered in one group.
@@ -54,7 +54,7 @@ def narrow(docs: DataFrame, text: str = "text", source: str = "source", lang: st
         F.col("doc_id").cast("long").alias("doc_id"),
         size.alias("size"),
         F.crc32(F.encode(body, "UTF-8")).alias("text_crc32"),
-        F.least(F.floor(F.log2(size.cast("double")) * 1024), F.lit(SLOTS - 1)).cast("int").alias("s0"),
+        F.least(F.floor(F.log2(size.cast("double")) * 128), F.lit(SLOTS - 1)).cast("int").alias("s0"),
         _slot(docs, source).alias("s1"),
         _slot(docs, lang).alias("s2"),
         hashed.alias("text_hash"),

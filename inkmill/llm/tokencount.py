@@ -5,7 +5,7 @@ vocabulary has. The automaton is a trie of the pieces with failure links: a node
 that are certain by then are popped, and the number of pieces popped is stored with it. One pass over the characters then
 gives the count without building pieces. A word that greedy cutting can't finish counts as one unknown token.
 
-Defined results: a null or blank text has no tokens; a null doc_id is kept as null; repeated rows are each counted; an empty
+Defined results: a null or blank text has no tokens; a very long text or word is counted in one pass, without recursion; a null doc_id is kept as null; repeated rows are each counted; an empty
 table gives an empty result; other columns are ignored.
 """
 
