@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from inkmill.functions import text as T
+from inkmill.sources.files import file_path
 
 
 def markdown_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
     """path, documento, text of new .md files below the path."""
     rows = spark.readStream.format("text").options(wholetext=True, recursiveFileLookup=True, pathGlobFilter=f"*{T.MARKDOWN}", maxFilesPerTrigger=files_per_batch).load(path)
-    rows = rows.select(F.col("_metadata.file_path").alias("path"), T.normalize_newlines(F.col("value")).alias("text"))
+    rows = rows.select(file_path().alias("path"), T.normalize_newlines(F.col("value")).alias("text"))
     return rows.select("path", T.base_name(F.col("path")).alias("documento"), "text")
 
 
