@@ -10,7 +10,7 @@ off by more than `SLACK` of its size.
 
 The tree is built level by level over a narrow table (no text). All of a level's nodes are cut by a few aggregations: bytes by
 node, dimension and grid cell give the widest dimension and the median's cell; bytes by 11 bits of the text's hash give the
-place in that cell, and further digits follow only where that is off by more than the slack. Groups are numbers of bounded
+place in that cell, and further digits follow only where that is off by more than the slack and several rows share it. Groups are numbers of bounded
 size whatever the rows, so neither a sort of rows nor a hot value in one task is needed. A level's cuts are a table of one row
 a node that rows are joined with; nothing that grows with the leaves reaches the driver or becomes an expression.
 
@@ -121,7 +121,7 @@ def _cuts(rows: DataFrame, medians: DataFrame, shards: int, slack: float) -> Dat
         else:
             inside, at = F.col("place") == F.col("key"), F.col("doc_bits")
         met = _by_node(rows, open_.drop("pending"), shards).withColumn("place", F.shiftleft(_cell().cast("long"), TEXT_BITS) + F.col("text_bits"))
-        weights = met.filter(inside).groupBy("first", "dim", "key", "goal", at.alias("at")).agg(F.sum("size").alias("w"))
+        weights = met.filter(inside).groupBy("first", "dim", "key", "goal", at.alias("at")).agg(F.sum("size").alias("w"), F.count(F.lit(1)).alias("n"))
         below = F.sum("w").over(Window.partitionBy("first").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)) - F.col("w")
         hit = weights.withColumn("below", below).filter((F.col("below") <= F.col("goal")) & (F.col("goal") < F.col("below") + F.col("w")))
         behind = F.col("below") + F.col("w") - F.col("goal") < F.col("goal") - F.col("below")
@@ -129,7 +129,7 @@ def _cuts(rows: DataFrame, medians: DataFrame, shards: int, slack: float) -> Dat
         step = F.col("at") + behind.cast("int")
         found = F.struct(*((F.col("key") + F.shiftleft(step.cast("long"), low)).alias("key"), F.lit(0).alias("doc")) if digit == "place" else (F.col("key"), step.cast("int").alias("doc")))
         inner = (F.col("key") + F.shiftleft(F.col("at").cast("long"), low)) if digit == "place" else F.col("key")
-        level = saved(hit.select("first", "dim", found.alias("cut"), inner.alias("inner"), (F.col("goal") - F.col("below")).alias("goal"), (off > slack).alias("pending")))
+        level = saved(hit.select("first", "dim", found.alias("cut"), inner.alias("inner"), (F.col("goal") - F.col("below")).alias("goal"), ((off > slack) & (F.col("n") > 1)).alias("pending")))
         closed = level if digit == "doc_bits" else level.filter("NOT pending")
         closed = closed.select("first", "dim", F.col("cut.key").alias("key"), F.col("cut.doc").alias("doc"))
         done = closed if done is None else done.union(closed)
