@@ -37,7 +37,7 @@ from inkmill.llm.hashing import Rolling, U, Words, mix, sliced, window_starts
 SHINGLE, SIMILARITY = 5, 0.8
 POOL, TREES, FIRST_TREES, STEPS = 32, 16, 4, 3
 #: Bytes of text whose shingles are hashed in one step.
-SLICE = 2 << 20
+SLICE = 1 << 20
 #: What is compared in one block, and in one group before it is taken leaf by leaf.
 BLOCK, BLOCK_SHINGLES = 2000, 2 << 20
 GROUP_MAX, GROUP_SHINGLES = 20_000, 16 << 20
@@ -54,6 +54,14 @@ class Sets:
     """Distinct shingle hashes of each text of a column, as one sorted run per text."""
 
     def __init__(self, texts: pa.Array, size: int) -> None:
+        found = [self._of(part.column(0), size) for part in sliced(pa.record_batch([texts], ["text"]), 0, SLICE)]
+        self.keys = np.concatenate([np.zeros(0, U), *(keys for keys, _ in found)])
+        self.count = np.concatenate([np.zeros(0, np.int64), *(count for _, count in found)])
+        self.first = np.cumsum(self.count) - self.count
+        self.filled = np.flatnonzero(self.count)
+
+    @staticmethod
+    def _of(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
         words = Words(texts)
         data = np.where((words.data >= 65) & (words.data <= 90), words.data + 32, words.data).astype(np.uint8)
         roll = Rolling(words.hashes(data))
@@ -68,10 +76,7 @@ class Sets:
         order = np.lexsort((keys, owner))
         owner, keys = owner[order], keys[order]
         new = np.concatenate(([True], (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1]))) if len(keys) else np.zeros(0, bool)
-        self.keys = keys[new]
-        self.count = np.bincount(owner[new], minlength=len(texts))
-        self.first = np.concatenate(([0], np.cumsum(self.count)))[:-1].astype(np.int64) if len(texts) else np.zeros(0, np.int64)
-        self.filled = np.flatnonzero(self.count)
+        return keys[new], np.bincount(owner[new], minlength=len(texts))
 
     def minwise(self, tokens: int) -> np.ndarray:
         """Minwise tokens of the non-empty sets, one row each."""
@@ -103,7 +108,7 @@ def signatures(docs: DataFrame, shingle: int = SHINGLE, text: str = "text") -> D
     """doc_id, n (distinct shingles), a 128-bit fingerprint of the set, and its leaf in each tree."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (s for b in batches for s in sliced(b, 1, SLICE)):
+        for batch in (s for b in batches for s in sliced(b, 1)):
             sets = Sets(batch.column(1), shingle)
             whole = [np.zeros(batch.num_rows, np.int64) for _ in range(2)]
             for w, salt in zip(whole, (0, 0xA0761D6478BD642F)):
