@@ -95,7 +95,8 @@ def learn(docs: DataFrame, text: str = "text", per_language: int = PER_LANGUAGE,
     if not sizes:
         return Profiles({}, size)
     share = F.create_map(*(F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, per_language / n))))
-    sample = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.element_at(share, F.col("lang")) * (1 << 20))
+    picked = F.pmod(F.crc32(F.concat(F.lit("sample "), F.col("doc_id").cast("string")).cast("binary")), F.lit(1 << 20))
+    sample = known.filter(picked < F.element_at(share, F.col("lang")) * (1 << 20))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, dict[int, int]] = {}

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 
 from inkmill.llm import decontam as D
+from inkmill.llm import langid as L
 from inkmill.llm import quality as Q
 
 SPLIT = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
@@ -93,4 +94,27 @@ best as (select *, row_number() over (partition by d, item_id order by matched d
 select distinct doc_id, item_id, doc_word::bigint as doc_word, matched::bigint as matched, longest_run::bigint as longest_run, item_len::bigint as item_len, n_slots::bigint as n_slots, verbatim from best where k = 1"""
 
 
-ORACLE = {"op10_decontamination": _leaks(), "op5_near_duplicates": NEAR_DUPLICATES, "op6_substring_dedup": SUBSTRINGS, "op7_quality": _quality()}
+def _crc32(text: str) -> str:
+    """Bit by bit, of ASCII text."""
+    bits = "list_reduce(list_concat([xor(c, b)], [0, 0, 0, 0, 0, 0, 0, 0]::bigint[]), lambda r, z: xor(r >> 1, 3988292384 * (r & 1)))"
+    return f"xor(list_reduce(list_concat([4294967295::bigint], list_transform(string_split({text}, ''), lambda x: ascii(x)::bigint)), lambda c, b: {bits}), 4294967295)"
+
+
+def _languages() -> str:
+    """N-grams cut out of strings. A code orders by length first, then by code points, as n-grams do here."""
+    grams = "unnest(list_concat(list_filter(string_split(s, ''), lambda x: x <> ' '), list_transform(range(1, length(s)), lambda k: substr(s, k, 2)), list_transform(range(1, length(s) - 1), lambda k: substr(s, k, 3))))"
+    return rf"""
+with docs as (select row_number() over () as d, doc_id, lang, {_crc32("doc_id::varchar")} % 3 = 1 as held_out, {_crc32("'sample ' || doc_id::varchar")} % 1048576 as pick,
+ ' ' || trim(regexp_replace(lower(coalesce(text, '')), '[^\p{{L}}]+', ' ', 'g')) || ' ' as s from documents),
+known as (select *, least(1.0::double, {L.PER_LANGUAGE}::double / count(*) over (partition by lang)) as share from docs where not held_out and lang is not null and doc_id is not null),
+grams as (select d, g, count(*) as n from (select d, {grams} as g from docs where length(s) > 2) group by d, g),
+learned as (select lang, g, sum(n) as n from grams join known using (d) where pick < share * 1048576 group by lang, g),
+profiles as (select lang, g, k - 1 as r from (select *, row_number() over (partition by lang order by n desc, length(g), g) as k from learned) where k <= {L.PROFILE}),
+own as (select d, g, k - 1 as r from (select *, row_number() over (partition by d order by n desc, length(g), g) as k from grams) where k <= {L.PROFILE}),
+apart as (select d, langs.lang, sum(coalesce(abs(profiles.r - own.r), {L.PROFILE})) as x, count(*) as size from own cross join (select distinct lang from profiles) langs left join profiles on profiles.lang = langs.lang and profiles.g = own.g group by d, langs.lang),
+placed as (select *, row_number() over (partition by d order by x, lang) as k from apart),
+best as (select d, max(lang) filter (k = 1) as lang, max(x) filter (k = 1) as x, coalesce(max(x) filter (k = 2), {L.PROFILE} * max(size)) as second from placed group by d)
+select doc_id, coalesce(held_out, false) as held_out, coalesce(best.lang, 'und') as lang_pred, coalesce(case when second = 0 then 0 else (second - x)::double / second::double end, 0::double) as score from docs left join best using (d)"""
+
+
+ORACLE = {"op2_language_id": _languages(), "op10_decontamination": _leaks(), "op5_near_duplicates": NEAR_DUPLICATES, "op6_substring_dedup": SUBSTRINGS, "op7_quality": _quality()}
