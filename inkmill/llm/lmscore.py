@@ -253,4 +253,5 @@ def good_documents(labels: DataFrame) -> DataFrame:
 
 
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return score(table(spark, sf_dir, "documents"), good_documents(table(spark, sf_dir, "labels")))
+    scored = score(table(spark, sf_dir, "documents"), good_documents(table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", "n_tokens", *(F.round(c, 6).alias(c) for c in ("loss_target", "loss_background", "score")))

@@ -6,6 +6,7 @@ import math
 
 from inkmill.llm import decontam as D
 from inkmill.llm import langid as L
+from inkmill.llm import lmscore as M
 from inkmill.llm import quality as Q
 
 SPLIT = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
@@ -117,4 +118,29 @@ best as (select d, max(lang) filter (k = 1) as lang, max(x) filter (k = 1) as x,
 select doc_id, coalesce(held_out, false) as held_out, coalesce(best.lang, 'und') as lang_pred, coalesce(case when second = 0 then 0 else (second - x)::double / second::double end, 0::double) as score from docs left join best using (d)"""
 
 
-ORACLE = {"op2_language_id": _languages(), "op10_decontamination": _leaks(), "op5_near_duplicates": NEAR_DUPLICATES, "op6_substring_dedup": SUBSTRINGS, "op7_quality": _quality()}
+def _scores() -> str:
+    """Counts by windows over all words; the empty string stands for a text's start."""
+    # of a token, by the words it is counted as: in all texts, in the target's, and in its own
+    counted = lambda name, by: f"count(*) over (partition by {by}) as {name}_0, count(*) filter (goal) over (partition by {by}) as {name}_1, count(*) over (partition by d, {by}) as {name}_own"
+    left = lambda name, g: f"({name}_{g} - {'case when goal then ' + name + '_own else 0 end' if g else name + '_own'})"
+    scale = {0: "(case when all_1 > 0 then all_1::double / all_0 else 1.0::double end)", 1: "1.0::double"}
+
+    def loss(g: int) -> str:
+        whole = f"(all_{g} - {'case when goal then n else 0 end' if g else 'n'})"
+        alone = f"(({left('word', g)} * {scale[g]} + {M.ADD}::double) / ({whole} * {scale[g]} + {M.ADD}::double * vocabulary))"
+        return f"-ln(case when {left('before', g)} > 0 then {M.PAIR_WEIGHT}::double * {left('pair', g)} / {left('before', g)} + {1 - M.PAIR_WEIGHT!r}::double * {alone} else {alone} end)"
+
+    lower = SPLIT.replace("coalesce(text, '')", "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
+    return rf"""
+with docs as (select row_number() over () as d, doc_id, coalesce(doc_id in (select doc_id from labels where quality = 1 and doc_id is not null), false) as goal, {lower} as w from documents),
+tokens as (select d, goal, len(w) as n, generate_subscripts(w, 1) as k, unnest(w) as b from docs),
+each as (select d, goal, n, k, b, coalesce(lag(b) over (partition by d order by k), '') as a from tokens),
+words as (select *, {counted("word", "b")}, {counted("pair", "a, b")} from each),
+starts as (select count(*) filter (len(w) > 0) as before_0, count(*) filter (len(w) > 0 and goal) as before_1 from docs),
+known as (select d, b as a, any_value(word_0) as before_0, any_value(word_1) as before_1, any_value(word_own) as before_own from words group by d, b union all select d, '', before_0, before_1, 1 from docs, starts where len(w) > 0),
+totals as (select count(*) as all_0, count(*) filter (goal) as all_1, greatest({1 << M.WORD_BITS}, count(distinct b)) as vocabulary from tokens),
+means as (select d, sum({loss(1)}) / count(*) as target, sum({loss(0)}) / count(*) as background from words join known using (d, a), totals group by d)
+select doc_id, len(w)::bigint as n_tokens, round(target, 6) as loss_target, round(background, 6) as loss_background, round(coalesce(background - target, 0), 6) as score from docs left join means using (d)"""
+
+
+ORACLE = {"op4_lm_scoring": _scores(), "op2_language_id": _languages(), "op10_decontamination": _leaks(), "op5_near_duplicates": NEAR_DUPLICATES, "op6_substring_dedup": SUBSTRINGS, "op7_quality": _quality()}
