@@ -7,6 +7,7 @@ import math
 from inkmill.llm import decontam as D
 from inkmill.llm import langid as L
 from inkmill.llm import lmscore as M
+from inkmill.llm import pii as P
 from inkmill.llm import quality as Q
 
 SPLIT = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
@@ -143,4 +144,36 @@ means as (select d, sum({loss(1)}) / count(*) as target, sum({loss(0)}) / count(
 select doc_id, len(w)::bigint as n_tokens, round(target, 6) as loss_target, round(background, 6) as loss_background, round(coalesce(background - target, 0), 6) as score from docs left join means using (d)"""
 
 
-ORACLE = {"op4_lm_scoring": _scores(), "op2_language_id": _languages(), "op10_decontamination": _leaks(), "op5_near_duplicates": NEAR_DUPLICATES, "op6_substring_dedup": SUBSTRINGS, "op7_quality": _quality()}
+def _personal_data() -> str:
+    """Matches of each pattern, placed by the lengths of what stands between them; look-around as conditions on the neighbours."""
+    patterns = {
+        "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)", "card": r"[0-9](?:[\x20-]?[0-9])+",
+        "phone": r"\+[0-9][\x20().0-9-]+[0-9]", "iban": "[A-Z]{2}[0-9]{2}", "ssn": "[0-9]{3}-[0-9]{2}-[0-9]{4}",
+    }
+    found = " union all ".join(f"select d, doc_id, t, {i} as o, '{kind}' as kind, regexp_extract_all(t, '{p}') as ms, string_split_regex(t, '{p}') as ps from texts" for i, (kind, p) in enumerate(patterns.items()))
+    luhn = "list_sum(list_transform(range(1, length(x) + 1), lambda i: case when i % 2 = 1 then x[-i]::int else 2 * x[-i]::int - 9 * (x[-i]::int > 4)::int end)) % 10 = 0"
+    mod = "list_reduce(list_concat([0::bigint], list_transform(string_split(substr(c, 5) || substr(c, 1, 4), ''), lambda x: case when ascii(x) < 58 then ascii(x) - 48 else ascii(x) - 55 end::bigint)), lambda r, x: (r * (case when x < 10 then 10 else 100 end) + x) % 97) = 1"
+    lengths = "map {" + ", ".join(f"'{k}': {n}" for k, n in P.IBAN_LENGTH.items()) + "}"
+    of_kind = lambda table: "case kind " + " ".join(f"when '{k}' then {table(k)}" for k in patterns) + " end"
+    listed = lambda words: "[" + ", ".join(f"'{w}'" for w in words) + "]"
+    total = lambda values: f"coalesce(list_sum(list_transform({values}, lambda x: length(x))), 0)"
+    span = "kind || ':' || a || ':' || b"
+    return rf"""
+with texts as (select row_number() over () as d, doc_id, coalesce(text, '') as t from documents),
+found as ({found}),
+placed as (select d, doc_id, t, o, kind, ms[k] as m, ({total("ps[1:k]")} + {total("ms[1:k-1]")})::bigint as a, regexp_replace(ms[k], '[^0-9]', '', 'g') as x from (select *, unnest(range(1, len(ms) + 1)) as k from found)),
+ends as (select *, case when kind <> 'iban' then m else regexp_extract(regexp_extract(substr(t, a + 1, 70), '^[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]){{11,30}}'), '^(?:[A-Z0-9] ?){{' || coalesce({lengths}[substr(m, 1, 2)] - 1, 0) || '}}[A-Z0-9]') end as whole from placed),
+sound as (select *, a + length(whole) as b, replace(whole, ' ', '') as c, case when a > 0 then substr(t, a, 1) else '' end as before, substr(t, a + length(whole) + 1, 1) as after from ends where whole <> ''),
+valid as (select * from sound where case kind when 'email' then true
+ when 'ip' then len(list_filter(string_split(m, '.'), lambda p: length(ltrim(p, '0')) > 3 or coalesce(try_cast(p as int), 0) > 255)) = 0
+ when 'card' then length(x) between 16 and 19 and {luhn} when 'phone' then length(x) between 8 and 15
+ when 'iban' then not regexp_matches(before, '[A-Za-z0-9]') and not regexp_matches(after, '[\p{{L}}\p{{N}}]') and length(c) = {lengths}[substr(m, 1, 2)] and {mod}
+ else not regexp_matches(before, '[0-9-]') and not regexp_matches(after, '[0-9-]') and not regexp_matches(m, '^(000|666|9)|-00-|-0000$') end),
+near as (select *, regexp_extract_all(lower(substr(t, greatest(0, a - {P.NEAR}) + 1, a - greatest(0, a - {P.NEAR})) || ' ' || substr(t, b + 1, {P.NEAR})), '[a-z-]+') as words from valid),
+scored as (select *, round(least(1, greatest(0, {of_kind(lambda k: f"{P.PRIOR[k]}::double")} + {P.BONUS}::double * list_has_any(words, {of_kind(lambda k: listed(P.CONTEXT[k]))})::int - {P.MALUS}::double * list_has_any(words, {listed(P.AGAINST)})::int)), 3) as score from near),
+kept as (select * from scored where kind in {tuple(P.BASE)} or score >= {P.LEAST}),
+sums as (select d, {", ".join(f"count(*) filter (kind = '{k}') as n_{k}" for k in patterns)}, string_agg({span}, ',' order by o, a) filter (kind in {tuple(P.BASE)}) as base, string_agg({span}, ',' order by o, a) as spans, max(score) as top from kept group by d)
+select doc_id, {", ".join(f"coalesce(n_{k}, 0) as n_{k}" for k in patterns)}, sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans, coalesce(top, 0::double) as top_score from texts left join sums using (d)"""
+
+
+ORACLE = {"op3_pii": _personal_data(), "op4_lm_scoring": _scores(), "op2_language_id": _languages(), "op10_decontamination": _leaks(), "op5_near_duplicates": NEAR_DUPLICATES, "op6_substring_dedup": SUBSTRINGS, "op7_quality": _quality()}
