@@ -115,6 +115,9 @@ def keep_documents(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def _assess(docs: DataFrame, key: Column, text: str, shares: dict, words_by_lang: dict) -> DataFrame:
     common = sorted({w for words in words_by_lang.values() for w in words})
+    # each common word becomes one character, so that counting them needs little memory
+    letter = {w: chr(ord("0") + i) for i, w in enumerate(common)}
+    letters = F.create_map(*(F.lit(x) for pair in letter.items() for x in pair))
     body = F.coalesce(F.col(text), F.lit(""))
     words = F.filter(F.split(body, WS), lambda w: w != "")
     lines = F.filter(F.split(body, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
@@ -125,7 +128,7 @@ def _assess(docs: DataFrame, key: Column, text: str, shares: dict, words_by_lang
         lambda w: F.struct(
             F.size(w).cast("long").alias("n"),
             repeated_words(w).cast("long").alias("again"),
-            F.array_join(F.filter(w, lambda x: x.isin(common)), "  ").alias("common"),
+            F.array_join(F.transform(F.filter(w, lambda x: x.isin(common)), lambda x: F.element_at(letters, x)), "").alias("common"),
         ),
     )
     step = docs.select(key, scope.alias("scope"), found.alias("w"), let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"), _class_counts(body).alias("classes"))
@@ -136,13 +139,12 @@ def _assess(docs: DataFrame, key: Column, text: str, shares: dict, words_by_lang
         F.col("w.n").alias("n_words"),
         F.col("w.again").alias("n_repeat_words"),
         "n_dup_lines",
-        F.concat(F.lit(" "), F.col("w.common"), F.lit(" ")).alias("common"),
-        F.length("w.common").alias("common_len"),
+        F.col("w.common").alias("common"),
         *(F.col("classes")[i].cast("double").alias(c) for i, c in enumerate(CLASSES)),
     )
     # shares of each bin; a document without text or words gets zeros
     chars, n = F.greatest(F.lit(1.0), _total([F.col(c) for c in CLASSES])), F.greatest(F.lit(1.0), F.col("n_words").cast("double"))
-    hits = [((F.length("common") - F.length(F.replace("common", F.lit(f" {w} "), F.lit("")))) / (len(w) + 2) / n).alias(f"w_{i}") for i, w in enumerate(common)]
+    hits = [((F.length("common") - F.length(F.replace("common", F.lit(letter[w]), F.lit("")))) / n).alias(f"w_{i}") for i, w in enumerate(common)]
     step = step.select(
         first, "scope", "n_words", "n_repeat_words", "n_dup_lines",
         (_total([F.col(c) for c in CLASSES]) - F.col("space")).cast("long").alias("word_chars"),
