@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
 from collections.abc import Iterator
 
@@ -53,6 +54,15 @@ def inverse(base: int) -> int:
     return pow(base, -1, 1 << 64)
 
 
+def give_back() -> None:
+    """Hand freed memory back to the system: workers are reused, and what one stage freed would else stay theirs."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        return
+
+
 class Words:
     """Words of a column of texts: byte bounds in `data`, and for each word its text's number."""
 

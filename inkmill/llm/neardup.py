@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkmill.llm.common import dropped, saved, sized_for_join, table
-from inkmill.llm.hashing import Rolling, U, Words, mix, sliced, window_starts
+from inkmill.llm.hashing import Rolling, U, Words, give_back, mix, sliced, window_starts
 
 SHINGLE, SIMILARITY = 5, 0.8
 POOL, TREES, FIRST_TREES, STEPS = 32, 16, 4, 3
@@ -118,6 +118,7 @@ def signatures(docs: DataFrame, shingle: int = SHINGLE, text: str = "text") -> D
             sizes[1 + sets.filled] = nodes.shape[1] if len(nodes) else 0
             lists = pa.ListArray.from_arrays(pa.array(np.cumsum(sizes), pa.int32()), pa.array(nodes.reshape(-1)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets.count, pa.int64()), pa.array(whole[0]), pa.array(whole[1]), lists], ["doc_id", "n", "fp1", "fp2", "nodes"])
+        give_back()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     return rows.mapInArrow(run, "doc_id long, n long, fp1 long, fp2 long, nodes array<long>")
@@ -246,6 +247,7 @@ def components(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMI
         rows = rows.combine_chunks()
         body = rows.column("text")
         found, _ = _confirm(rows.column("rep").to_numpy(), body.chunk(0), shingle, percent)
+        give_back()
         return pa.table({"rep": rows.column("rep"), "component": pa.array(found)})
 
     members = texts.join(sized_for_join(marked.filter("kind = 'block'").select("rep", "root")), "rep")
@@ -277,6 +279,7 @@ def _in_blocks(cells: DataFrame, texts: DataFrame, shingle: int, percent: int, b
     def confirm(rows: pa.Table) -> pa.Table:
         rows = rows.combine_chunks()
         _, links = _confirm(rows.column("rep").to_numpy(), rows.column("text").chunk(0), shingle, percent)
+        give_back()
         return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
 
     links = dealt.groupBy("at", "node", "low", "high").applyInArrow(confirm, "a long, b long").filter("a < b")

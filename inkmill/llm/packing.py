@@ -29,7 +29,7 @@ MAX_LEN = 4096
 END_ID = 1
 OPEN_BINS = 4096
 #: Words and letter runs that a worker remembers; the memory is bounded, results do not depend on it.
-CACHE = 450_000
+CACHE = 300_000
 
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 #: Separators to Python's split() that the tokenizer doesn't take for white space.
