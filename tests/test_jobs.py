@@ -6,6 +6,7 @@ import csv
 import json
 import logging
 import threading
+import time
 from http.server import BaseHTTPRequestHandler, HTTPServer
 
 import pandas as pd
@@ -227,3 +228,44 @@ def test_chat_backend(spark, tmp_path, path):
         server.shutdown()
     with pytest.raises(GenerationError):
         ChatGenerator("m", "http://127.0.0.1:1/api/chat", tries=1).rewrite("t")
+
+
+def test_files_without_a_byte_come_back(spark, tmp_path):
+    root = put(tmp_path / "in", a_dot_md="", sub__b_dot_md="x", c_dot_pdf="", d_dot_yaml="")
+    for utf8 in ("replace", "null"):
+        assert {r.documento: r.text for r in files.read_markdown(spark, root, utf8=utf8).collect()} == {"a.md": "", "b.md": "x"}
+    assert [bytes(r.content) for r in files.read_binary(spark, root).collect()] == [b""]
+    assert [r.error is not None for r in files.read_taxonomies(spark, root).collect()] == [True]
+
+
+def test_named_files_of_bytes(spark, tmp_path):
+    sinks.write_named(spark.createDataFrame([("a.md", bytearray(b"\xff"))], "name string, content binary"), str(tmp_path / "out"))
+    assert (tmp_path / "out/a.md").read_bytes() == b"\xff"
+    assert [r.text for r in files.read_markdown(spark, str(tmp_path / "out"), utf8="null").collect()] == [None]
+
+
+def test_merge_tells_empty_fields_from_nulls_and_skips_blank_lines(spark, tmp_path):
+    root = put(tmp_path / "in", a_dot_csv='\ni,a\n1,""\n2,\n', b_dot_CSV="a,i\n,3\n", sub__c_dot_csv="q\n1\n")
+    jobs.merge_csv(spark, root, str(tmp_path / "out"))
+    assert [(r.i, r.a) for r in files.read_csv_files(spark, str(tmp_path / "out"))[0].orderBy("_row").collect()] == [("1", ""), ("2", None), ("3", None)]
+
+
+def test_jobs_ask_the_system_for_no_file_of_its_own(spark, tmp_path):
+    # Hadoop's listing forks a process for each file of a local folder
+    root = put(tmp_path / "in", **{f"f{i}_dot_md": L for i in range(400)})
+    began = time.monotonic()
+    assert files.file_names(spark, root, ".md").count() == 400
+    assert time.monotonic() - began < 400 * 0.004 + 3 and files.file_names(spark, root, ".MD", any_case=True, recursive=False).count() == 400
+
+
+def test_yaml_is_read_and_written_by_the_library_in_c(spark, tmp_path):
+    odd = spark.createDataFrame([("/in/a.md", [("ñ \U0001f600", [])])], f"path string, {files.TAXONOMY}")
+    assert "\U0001f600" in sinks.taxonomy_yaml(odd).first().content
+    text = " ".join(f"word{i}: 'ñ'" for i in range(36000))
+    made = spark.createDataFrame([("/in/a.md", [(text, [(text, text)])])], f"path string, {files.TAXONOMY}")
+    body = sinks.taxonomy_yaml(made).first().content
+    assert body == yaml.dump({"seed_examples": [{"context": text, "questions_and_answers": [{"question": text, "answer": text}]}]}, allow_unicode=True)
+    put(tmp_path, a_dot_yaml=body)
+    began = time.monotonic()
+    assert files.read_taxonomies(spark, str(tmp_path)).first().seed_examples[0].context == text
+    assert time.monotonic() - began < 4  # in Python alone this takes more than that
